@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, packing, substring, vectors, warc
+from . import exact_dedup, jaccard, mixing, packing, substring, vectors, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,7 +38,11 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_embedding_near_dedup, op5_exact_dedup, op6_packing, op7_warc, op9_mixing)}
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_classes(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_embedding_near_dedup, op5_exact_dedup, op6_packing, op7_warc, op9_mixing, op10_jaccard_join)}
 
 SQL = {
     "op5_exact_dedup": r"""
