@@ -1,35 +1,54 @@
-"""The corpus pipeline: quality classifier, exact dedup, n-gram Jaccard join, mixing, packing."""
+"""The corpus pipeline: quality classifier, exact dedup, n-gram Jaccard join, mixing sources, packing."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltworks.llm import exact_dedup, mixing, packing
+from siltworks.llm import classifier, exact_dedup, jaccard, mixing, packing
+from siltworks.llm.common import materialise
 
-ORACLE_SQL = None  # trained and hashed stages have no SQL; tests compare with a brute-force version
+ORACLE_SQL = None  # trained and hashed stages have no SQL; a test compares with a brute-force version
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose probability of the best grade is at least one half; toxic and junk documents go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", classifier.graded().alias("grade"))
+    return classifier.select(docs, classifier.train(docs, labels))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts."""
     return exact_dedup.drop_copies(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of similar texts."""
+    return jaccard.one_of_each(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's target asks for."""
     return mixing.mixed_rows(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of token ids: one row per piece of a document."""
     import public_tokenizers
 
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("exact dedup", exact), ("mixing sources to target weights", mixed), ("packing", packed)]
+STAGES = [
+    ("quality classifier", quality),
+    ("exact dedup", exact),
+    ("n-gram Jaccard join", near),
+    ("mixing sources to target weights", mixed),
+    ("packing", packed),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written to the shared folder and read by the next."""
-    from siltworks.llm.common import materialise
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")

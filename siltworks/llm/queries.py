@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard, mixing, packing, substring, vectors, warc
+from . import classifier, exact_dedup, jaccard, licenses, lm, mixing, packing, substring, vectors, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +20,15 @@ def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lm.lm_scores(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", F.round("score", 4).alias("score"), F.round("mean_score", 6).alias("mean_score"))
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
@@ -34,6 +44,12 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", classifier.graded().alias("grade"))
+    return classifier.score(docs, classifier.train(docs, labels))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -42,9 +58,28 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_classes(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_embedding_near_dedup, op5_exact_dedup, op6_packing, op7_warc, op9_mixing, op10_jaccard_join)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_substring_dedup, op2_embedding_near_dedup, op3_lm_scoring, op4_license_scan, op5_exact_dedup, op6_packing, op7_warc, op8_quality_classifier, op9_mixing, op10_jaccard_join,
+    )
+}
+
 
 SQL = {
+    "op3_lm_scoring": r"""
+        WITH words AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        sizes AS (SELECT r, doc_id, len(w)::BIGINT AS n_words FROM words),
+        tokens AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM words),
+        pairs AS (SELECT *, lag(word) OVER (PARTITION BY r ORDER BY i) AS prev FROM tokens),
+        uni AS (SELECT word, count(*) AS c FROM tokens GROUP BY word),
+        bi AS (SELECT prev, word, count(*) AS c FROM pairs WHERE prev IS NOT NULL GROUP BY prev, word),
+        total AS (SELECT count(*) AS n FROM tokens),
+        scored AS (
+            SELECT p.r, CASE WHEN b.c >= 2 THEN ln(b.c / v.c) WHEN p.prev IS NOT NULL THEN ln(0.4) + ln(u.c / n) ELSE ln(u.c / n) END AS s
+            FROM pairs p CROSS JOIN total JOIN uni u ON p.word = u.word LEFT JOIN uni v ON p.prev = v.word LEFT JOIN bi b ON p.prev = b.prev AND p.word = b.word),
+        sums AS (SELECT r, sum(s) AS score FROM scored GROUP BY r)
+        SELECT doc_id, n_words, round(coalesce(score, 0.0), 4) AS score, round(score / nullif(n_words, 0), 6) AS mean_score FROM sizes LEFT JOIN sums USING (r)""",
     "op5_exact_dedup": r"""
         WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id IS NOT DISTINCT FROM min(doc_id) OVER w AS kept, text_sha256
