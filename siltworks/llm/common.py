@@ -42,18 +42,21 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df once to the shared folder and read it from there.
 
     Later steps start from the written table: its lineage is cut, it outlives lost executors, and what was
-    shuffled to make it can be released.
+    shuffled to make it can be released, once nothing refers to df.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
     schema = df.schema
     df.write.parquet(path)
-    del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()  # lets the driver's cleaner drop shuffle files that nothing refers to
     return spark.read.schema(schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver's cleaner drop shuffle files that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def small(df: DataFrame, most_rows: int = 20_000) -> DataFrame:
     """Mark df for broadcast if it holds at most most_rows rows (counted here), else leave the choice to Spark."""
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df

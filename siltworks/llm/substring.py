@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, release
 from .textops import Chunk, chunks, grams, mix, run_hashes, within
 
 _U = np.uint64
@@ -104,7 +104,7 @@ def find_anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
                     names=["seed", "context", "doc", "place"],
                 )
 
-    return docs.mapInArrow(run, "seed long, context long, doc long, place int")
+    return docs.mapInArrow(run, "seed long not null, context long not null, doc long not null, place int not null")
 
 
 def _lists(column: pa.Array) -> Iterator[np.ndarray]:
@@ -190,6 +190,16 @@ def cut(docs: DataFrame, length: int, gram: int, spans: bool) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string" + more)
 
 
+def mark_anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
+    """(doc, place, several) of the earliest anchor of each class, written to the shared folder."""
+    firsts = find_anchors(docs, length, gram).groupBy("seed", "context").agg(F.min_by("place", "doc").alias("place"), F.min("doc").alias("doc"))
+    # asks for all columns, so that both readers of firsts share one exchange
+    several = firsts.where((F.col("place") >= 0) & F.col("doc").isNotNull()).groupBy("seed")
+    several = several.agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("seed", F.lit(True).alias("several"))
+    marks = firsts.join(several, "seed", "left").select("doc", "place", F.coalesce("several", F.lit(False)).alias("several"))
+    return materialise(marks, "substring-anchors")
+
+
 def substring_dedup(docs: DataFrame, length: int = 20, gram: int = 6, spans: bool = True) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, n_words, n_removed, kept_sha256, and with spans also kept_text
     and the removed spans [from, to) in words.
@@ -201,10 +211,8 @@ def substring_dedup(docs: DataFrame, length: int = 20, gram: int = 6, spans: boo
     read.
     """
     docs = docs.select("doc_id", "text")
-    firsts = find_anchors(docs, length, gram).groupBy("seed", "context").agg(F.min_by("place", "doc").alias("place"), F.min("doc").alias("doc"))
-    several = firsts.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("seed", F.lit(True).alias("several"))
-    marks = firsts.join(several, "seed", "left").select("doc", "place", F.coalesce("several", F.lit(False)).alias("several"))
-    marks = materialise(marks, "substring-anchors")
+    marks = mark_anchors(docs, length, gram)
+    release(docs.sparkSession)
     keyed = docs.withColumn("doc", F.coalesce("doc_id", F.lit(NO_ID)))
     mixed = marks.where("several").groupBy("doc").agg(F.collect_list("place").alias("mixed"))
     windows = find_windows(keyed.join(mixed, "doc").select("doc_id", "text", "mixed"), length, gram)
