@@ -8,6 +8,7 @@ from collections import Counter
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import fixed
 from .regex import TRIM, engine
@@ -50,7 +51,7 @@ def entropy_of(text: str | None) -> float | None:
     return -sum(n / len(text) * math.log2(n / len(text)) for n in Counter(text).values())
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def entropy(token: pd.Series) -> pd.Series:
     """Shannon entropy of a token in bits a character: no built-in expression has it.  Optional, for odd tokens."""
     return token.map(entropy_of)
