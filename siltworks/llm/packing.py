@@ -9,16 +9,22 @@ shard, and a lost task packs the same shards again.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .textops import buffers
+from .textops import Chunk, chunks
+
+_U = np.uint64
+MARK = b"\x01"
+_OWN: dict[tuple[str, int], WordTokenizer] = {}  # a worker's, from task to task
 
 
 @dataclass(frozen=True)
@@ -104,49 +110,114 @@ def at_powers(seq: list[tuple[int, int, int]]) -> Iterator[list[tuple[int, int,
 class WordTokenizer:
     """A tokenizer whose words never reach over white space, run once per different word.
 
-    Words are kept up to a bound and forgotten together, so memory does not follow the corpus.
+    Ids are kept in an open hash table of numpy arrays, by a 64-bit hash and, as a check, length and outer bytes of
+    the word.  The table holds up to ``most`` words and is then begun anew, so memory does not follow the corpus.
     """
 
-    def __init__(self, path: str, end: int, most: int = 400_000):
+    def __init__(self, path: str, end: int, most: int = 1_500_000):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.own, self.end, self.most = Tokenizer.from_file(path), end, most
+        mark = self.own.encode(MARK.decode(), add_special_tokens=False).ids
+        if len(mark) != 1:
+            raise ValueError("the tokenizer needs an id of its own for the mark between words")
+        self.mark = mark[0]
         self.forget()
 
-    def forget(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.ids: list[list[int]] = []
-        self.flat, self.first, self.count = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.place) + len(words) > self.most and self.place:
-            self.forget()
-        fresh = [w for w in words if w not in self.place]
-        for w, e in zip(fresh, self.own.encode_batch([w.decode() for w in fresh], add_special_tokens=False), strict=True):
-            self.place[w] = len(self.ids)
-            self.ids.append(e.ids)
-        new = self.ids[len(self.count) :]
-        lens = np.array([len(x) for x in new], np.int64)
-        first = len(self.flat) + np.cumsum(lens) - lens
-        self.flat = np.concatenate([self.flat, np.array([i for x in new for i in x], np.uint32)])
-        self.first, self.count = np.concatenate([self.first, first]), np.concatenate([self.count, lens])
-
-    def encode(self, text: bytes) -> np.ndarray:
-        parts = []
-        words = text.split()
-        for k in range(0, len(words), 200_000):
-            some = words[k : k + 200_000]
-            try:
-                at = list(map(self.place.__getitem__, some))
-            except KeyError:
-                self.learn(set(some))
-                at = list(map(self.place.__getitem__, some))
-            at = np.array(at, np.int64)
-            n = self.count[at]
-            if len(at):
-                ends = np.cumsum(n)
-                parts.append(self.flat[np.repeat(self.first[at] - (ends - n), n) + np.arange(ends[-1])])
-        return np.concatenate([*parts, np.array([self.end], np.uint32)])
+    def forget(self, need: int = 0) -> None:
+        self.size = 1 << int(np.ceil(np.log2(max(self.most, need) * 2.5)))
+        self.key, self.check, self.word = np.zeros(self.size, np.uint64), np.zeros(self.size, np.uint32), np.full(self.size, -1, np.int32)
+        self.flat, self.held, self.known = np.zeros(1 << 16, np.uint32), 0, 0
+        self.first, self.count = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32)
+
+    def find(self, h: np.ndarray, check: np.ndarray) -> np.ndarray:
+        """The number of each word, -1 where it is not known."""
+        out, live, at = np.full(len(h), -1, np.int32), np.arange(len(h)), (h & _U(self.size - 1)).astype(np.int64)
+        while len(live):
+            word = self.word[at]
+            hit = (self.key[at] == h[live]) & (self.check[at] == check[live]) & (word >= 0)
+            out[live[hit]] = word[hit]
+            on = ~hit & (word >= 0)
+            live, at = live[on], (at[on] + 1) & (self.size - 1)
+        return out
+
+    def place(self, h: np.ndarray, check: np.ndarray, number: np.ndarray) -> None:
+        """Put in words that differ and are not known; of those that want one slot the last gets it, the others go on."""
+        live, at = np.arange(len(h)), (h & _U(self.size - 1)).astype(np.int64)
+        while len(live):
+            free = self.word[at] < 0
+            self.word[at[free]] = number[live[free]]
+            mine = self.word[at] == number[live]
+            self.key[at[mine]], self.check[at[mine]] = h[live[mine]], check[live[mine]]
+            live, at = live[~mine], (at[~mine] + 1) & (self.size - 1)
+
+    def learn(self, words: list[bytes], h: np.ndarray, check: np.ndarray) -> None:
+        odd = [k for k, w in enumerate(words) if MARK in w]
+        if odd:
+            rest = [k for k in range(len(words)) if MARK not in words[k]]
+            order = np.array(rest + odd, np.int64)
+            words, h, check = [words[k] for k in order], h[order], check[order]
+        plain = len(words) - len(odd)
+        ids, n = self.together(words[:plain])
+        alone = [e.ids for e in self.own.encode_batch_fast([w.decode() for w in words[plain:]], add_special_tokens=False)]
+        ids = np.concatenate([ids, np.fromiter(chain.from_iterable(alone), np.uint32)])
+        n = np.concatenate([n, np.array([len(x) for x in alone], np.int64)])
+        for name, need in (("flat", self.held + len(ids)), ("first", self.known + len(n)), ("count", self.known + len(n))):
+            own = getattr(self, name)
+            if need > len(own):
+                setattr(self, name, np.concatenate([own, np.zeros(max(need - len(own), len(own) // 2), own.dtype)]))
+        new = slice(self.known, self.known + len(n))
+        self.first[new], self.count[new] = self.held + np.cumsum(n) - n, n
+        self.flat[self.held : self.held + len(ids)] = ids
+        self.place(h, check, np.arange(self.known, self.known + len(n), dtype=np.int32))
+        self.held, self.known = self.held + len(ids), self.known + len(n)
+
+    def together(self, words: list[bytes], run: int = 2000) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their numbers of words without the mark: encoded in runs, a mark after each word."""
+        end = b" " + MARK + b" "
+        texts = [(end.join(words[k : k + run]) + end).decode() for k in range(0, len(words), run)]
+        ids = [np.array(self.own.encode_batch_fast([x], add_special_tokens=False)[0].ids, np.uint32) for x in texts]  # one by one: an encoding is large
+        ids = np.concatenate([np.zeros(0, np.uint32), *ids])
+        at = np.flatnonzero(ids == self.mark)
+        if len(at) != len(words):
+            raise ValueError("a word has the mark's id")
+        return np.delete(ids, at), np.diff(np.concatenate([[-1], at])) - 1
+
+    def encode(self, c: Chunk) -> list[np.ndarray]:
+        """The ids of each document of a chunk, with the end id."""
+        h = c.hashes()
+        size = c.ends - c.starts
+        check = ((size & 0xFFFF) << 16).astype(np.uint32)
+        if len(h):
+            check |= (c.data[c.starts].astype(np.uint32) << 8) | c.data[c.ends - 1]
+        number = self.find(h, check)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            at = _different(h[new], check[new])
+            if self.known and self.known + len(at) > self.most or len(at) > self.most:
+                new = np.arange(len(h))
+                at = _different(h, check)
+                self.forget(len(at))  # larger for a single document with more different words than are kept
+            raw, some = memoryview(c.data), new[at]
+            self.learn([bytes(raw[a:b]) for a, b in zip(c.starts[some].tolist(), c.ends[some].tolist(), strict=True)], h[some], check[some])
+            number[new] = self.find(h[new], check[new])
+        n = self.count[number].astype(np.int64)
+        ends = np.cumsum(n)
+        upto = np.concatenate([[0], ends])[c.bounds]
+        out = np.full((upto[-1] if len(upto) else 0) + c.size, self.end, np.uint32)
+        shift = np.repeat(np.arange(c.size), np.diff(upto))
+        out[np.arange(len(shift)) + shift] = self.flat[np.repeat(self.first[number] - (ends - n), n) + np.arange(len(shift))]
+        cuts = upto + np.arange(c.size + 1)
+        return [out[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def _different(h: np.ndarray, check: np.ndarray) -> np.ndarray:
+    """Places of one word of each kind."""
+    order = np.lexsort((check, h))
+    first = np.ones(len(h), bool)
+    first[1:] = (h[order][1:] != h[order][:-1]) | (check[order][1:] != check[order][:-1])
+    return order[first]
 
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -161,7 +232,9 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, limits: Lim
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = WordTokenizer(tokenizer, end_id)
+        if (tokenizer, end_id) not in _OWN:
+            _OWN[tokenizer, end_id] = WordTokenizer(tokenizer, end_id)
+        tok = _OWN[tokenizer, end_id]
         task = TaskContext.get()
         ahead = [(task.partitionId() if task else 0) << 36]
         docs_, ids_, held = [], [], 0
@@ -182,12 +255,12 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, limits: Lim
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=names)
 
         for batch in batches:
-            data, at = buffers(batch.column("text"))
-            raw = memoryview(data)
-            for k, doc in enumerate(batch.column("doc_id").to_pylist()):
-                docs_.append(doc)
-                ids_.append(tok.encode(bytes(raw[at[k] : at[k + 1]])))
-                held += len(ids_[-1])
+            ids = batch.column("doc_id").to_pylist()
+            for c in chunks(batch.column("text"), 1 << 20):
+                docs_ += ids[c.first : c.first + c.size]
+                own = tok.encode(c)
+                ids_ += own
+                held += sum(map(len, own))
                 if held >= shard_tokens:
                     yield flush()
                     docs_, ids_, held = [], [], 0
