@@ -1,9 +1,12 @@
 """LM scoring: stupid-backoff scores from n-gram count tables, computed relationally.
 
 Documents are dealt to blocks by hash.  A block's texts are exploded to n-grams and counted in the block, so that a
-common word is one row a block; the rows of all blocks, partitioned by the n-gram's hash, give each n-gram its count
-in the corpus.  The counts go back to the blocks that asked for them and are joined to the exploded n-grams of each
-document there, and summed.  What moves follows the number of different n-grams of the blocks, not the words.
+common word counts once a block.  The count tables are partitioned by the n-gram's hash: all blocks' counts of a range
+of hashes meet in one group, which gives each n-gram its count in the corpus.  The counts go back to the blocks that
+have the n-gram and are joined to the exploded n-grams of each document there, and summed.
+
+A table's rows of one block and one range travel as one row: sorted hashes as differences, bytes in planes,
+compressed.  What moves follows the number of different n-grams of the blocks, at about six bytes each.
 """
 
 from __future__ import annotations
@@ -12,10 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions
+from .common import partitions, stream_groups
 from .textops import Chunk, chunks, grams, within
 
 _U = np.uint64
@@ -36,9 +40,25 @@ def _tally(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return keys, np.bincount(inverse, weights=np.concatenate([p[1] for p in parts]), minlength=len(keys)).astype(np.int64)
 
 
-def count_in_blocks(dealt: DataFrame, order: int) -> DataFrame:
-    """n, hash, block, count of the n-grams of each block; one row for n = 0 with the number of words."""
-    schema = pa.schema([("n", pa.int32()), ("hash", pa.int64()), ("block", pa.int64()), ("count", pa.int64())])
+def squeezed(values: np.ndarray, ascending: bool) -> bytes:
+    """64-bit whole numbers as bytes, those in order as differences."""
+    v = values.view(np.uint64)
+    v = np.diff(v, prepend=_U(0)) if ascending else v
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(v.view(np.uint8).reshape(-1, 8).T).tobytes())
+
+
+def stretched(data: bytes, ascending: bool) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
+    v = np.ascontiguousarray(raw.T).view(np.uint64).ravel()
+    return np.cumsum(v, dtype=np.uint64) if ascending else v.view(np.int64)
+
+
+TABLE = "part int, n int, block long, hashes binary, counts binary"
+
+
+def count_in_blocks(dealt: DataFrame, order: int, parts: int) -> DataFrame:
+    """The n-grams of each block with their counts there, in ``parts`` ranges of hashes."""
+    edges = np.array([(k << 64) // parts for k in range(1, parts)], dtype=np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[int, int], list] = {}
@@ -48,19 +68,52 @@ def count_in_blocks(dealt: DataFrame, order: int) -> DataFrame:
                 own = batch.filter(pa.array(blocks == b))
                 for c in chunks(own.column("text")):
                     for n, (keys, _) in enumerate(exploded(c, order), 1):
-                        k, m = np.unique(keys, return_counts=True)
-                        parts = held.setdefault((int(b), n), [])
-                        parts.append((k, m))
-                        if len(parts) >= 8:
-                            held[int(b), n] = [_tally(parts)]
-        for (b, n), parts in held.items():
-            k, m = _tally(parts)
-            for i in range(0, len(k), 1 << 18):
-                some = slice(i, i + (1 << 18))
-                size = len(k[some])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(size, n, np.int32)), pa.array(k[some].view(np.int64)), pa.array(np.full(size, b)), pa.array(m[some])], schema=schema)
+                        some = held.setdefault((int(b), n), [])
+                        some.append(np.unique(keys, return_counts=True))
+                        if len(some) >= 8:
+                            held[int(b), n] = [_tally(some)]
+        for (b, n), some in held.items():
+            keys, count = _tally(some)
+            cut = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
+            rows = [(k, n, b, squeezed(keys[x:y], True), squeezed(count[x:y], False)) for k, (x, y) in enumerate(zip(cut, cut[1:], strict=False)) if y > x]
+            if rows:
+                kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["part", "n", "block", "hashes", "counts"])
+
+    return dealt.mapInArrow(run, TABLE)
+
+
+def count_in_corpus(table: DataFrame, least: int, parts: int) -> DataFrame:
+    """The same rows with counts in the corpus, without the n-grams (n > 1) that are rarer than least."""
+
+    def total(rows: pa.Table) -> pa.RecordBatch | None:
+        n = rows.column("n")[0].as_py()
+        own = [stretched(x.as_py(), True) for x in rows.column("hashes")]
+        keys, inverse = np.unique(np.concatenate(own), return_inverse=True)
+        counts = np.concatenate([stretched(x.as_py(), False) for x in rows.column("counts")])
+        sums = np.zeros(len(keys), np.int64)
+        np.add.at(sums, inverse, counts)
+        at, out = 0, []
+        for b, k in zip(rows.column("block").to_pylist(), own, strict=True):
+            mine = sums[inverse[at : at + len(k)]]
+            keep = mine >= (least if n > 1 else 1)
+            at += len(k)
+            if keep.any():
+                out.append((n, b, squeezed(k[keep], True), squeezed(mine[keep], False)))
+        if not out:
+            return None
+        kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["n", "block", "hashes", "counts"])
+
+    return stream_groups(table, ["part", "n"], total, "n int, block long, hashes binary, counts binary", parts)
+
+
+def count_words(docs: DataFrame) -> int:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([sum(len(c.starts) for c in chunks(batch.column("text")))], pa.int64())], names=["words"])
 
-    return dealt.mapInArrow(run, "n int, hash long, block long, count long")
+    return int(docs.select("text").mapInArrow(run, "words long").agg(F.sum("words")).first()[0] or 0)
 
 
 def lm_scores(docs: DataFrame, order: int = 2, alpha: float = 0.4, least: int = 2, blocks: int | None = None) -> DataFrame:
@@ -75,18 +128,17 @@ def lm_scores(docs: DataFrame, order: int = 2, alpha: float = 0.4, least: int =
     blocks = blocks or partitions(spark)
     text = F.coalesce("text", F.lit(""))
     dealt = docs.select("doc_id", text.alias("text")).withColumn("block", F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(blocks))).repartition(blocks, "block")
-    table = count_in_blocks(dealt, order)
-    total = F.sum("count").over(Window.partitionBy("n", "hash"))
-    counts = table.withColumn("total", total).where((F.col("n") == 1) | (F.col("total") >= least)).select("block", "n", "hash", "total")
-    words = int(table.where("n = 1").agg(F.sum("count")).first()[0] or 0)
+    counts = count_in_corpus(count_in_blocks(dealt, order, blocks), least, blocks)
+    words = count_words(docs)
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        n, keys, total = (right.column(x).to_numpy() for x in ("n", "hash", "total"))
-        tables = []
+        n, tables = right.column("n").to_numpy(), []
         for k in range(1, order + 1):
             own = np.flatnonzero(n == k)
-            own = own[np.argsort(keys[own].view(np.uint64), kind="stable")]
-            tables.append((keys[own].view(np.uint64), total[own]))
+            keys = np.concatenate([np.zeros(0, np.uint64), *(stretched(right.column("hashes")[i].as_py(), True) for i in own)])
+            total = np.concatenate([np.zeros(0, np.int64), *(stretched(right.column("counts")[i].as_py(), False) for i in own)])
+            at = np.argsort(keys, kind="stable")
+            tables.append((keys[at], total[at]))
 
         def look(k: int, asked: np.ndarray) -> np.ndarray:
             have, count = tables[k - 1]
