@@ -24,6 +24,10 @@ from .textops import Chunk, chunks
 
 _U = np.uint64
 MARK = b"\x01"
+_LETTER, _STOP, _LOWER = np.zeros(256, bool), np.zeros(256, bool), np.arange(256, dtype=np.uint8)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_STOP[[ord(x) for x in ".,;:!?"]] = True
+_LOWER[65:91] += 32
 _OWN: dict[tuple[str, int], WordTokenizer] = {}  # a worker's, from task to task
 
 
@@ -119,12 +123,17 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.own, self.end, self.most = Tokenizer.from_file(path), end, most
-        mark = self.own.encode(MARK.decode(), add_special_tokens=False).ids
+        mark = self.ids(MARK.decode())
         if len(mark) != 1:
             raise ValueError("the tokenizer needs an id of its own for the mark between words")
         self.mark = mark[0]
+        probe, parts = "Word, wORD. x;Yz!?", ("word", ",", "word", ".", "x", ";", "yz", "!?")
+        self.folds = self.ids(probe) == [i for x in parts for i in self.ids(x)]
         self.forget()
 
+    def ids(self, text: str) -> list[int]:
+        return self.own.encode(text, add_special_tokens=False).ids
+
     def forget(self, need: int = 0) -> None:
         self.size = 1 << int(np.ceil(np.log2(max(self.most, need) * 2.5)))
         self.key, self.check, self.word = np.zeros(self.size, np.uint64), np.zeros(self.size, np.uint32), np.full(self.size, -1, np.int32)
@@ -186,6 +195,8 @@ class WordTokenizer:
 
     def encode(self, c: Chunk) -> list[np.ndarray]:
         """The ids of each document of a chunk, with the end id."""
+        if self.folds:
+            c = units(c)
         h = c.hashes()
         size = c.ends - c.starts
         check = ((size & 0xFFFF) << 16).astype(np.uint32)
@@ -212,6 +223,21 @@ class WordTokenizer:
         return [out[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
+def units(c: Chunk) -> Chunk:
+    """The chunk in lower case, its words cut between letters and stops: there are fewer different ones.
+
+    For tokenizers that do both themselves.  ASCII alone is touched, and no text that may name a special token.
+    """
+    if not len(c.data) or b"<|" in c.data.tobytes():
+        return c
+    letter, stop = _LETTER[c.data], _STOP[c.data]
+    cuts = np.flatnonzero((letter[:-1] & stop[1:]) | (stop[:-1] & letter[1:])) + 1
+    first, last = np.zeros(len(c.data), bool), np.zeros(len(c.data), bool)
+    first[c.starts], first[cuts], last[c.ends - 1], last[cuts - 1] = True, True, True, True
+    starts = np.flatnonzero(first)
+    return Chunk(c.first, c.size, _LOWER[c.data], c.offsets, starts, np.flatnonzero(last) + 1, np.searchsorted(starts, c.offsets))
+
+
 def _different(h: np.ndarray, check: np.ndarray) -> np.ndarray:
     """Places of one word of each kind."""
     order = np.lexsort((check, h))
