@@ -12,6 +12,9 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     """Hang the neighbours of each node (the larger ones, or the smaller ones and itself) on its smallest."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    # greatest(a, m) is a, but a new column to the planner: both sides of the join get an exchange of their own, and
+    # only then can a node with very many neighbours be split at run time
+    least = least.select(F.greatest("a", "m").alias("a"), "m")
     hung = both.join(least, "a")
     if large:
         out = hung.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
