@@ -21,9 +21,9 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--name", default="my-dataset")
     c.add_argument("--query")
     c.add_argument("--output", default="plan.me")
-    c = sub.add_parser("run", help="curate archives (owner__repo.tar.gz or .zip) into a dataset")
+    c = sub.add_parser("run", help="curate the plan's repositories into a dataset")
     c.add_argument("plan")
-    c.add_argument("--archives", required=True, help="glob of archives")
+    c.add_argument("--archives", help="glob of archives (owner__repo.tar.gz or .zip); without it they are fetched")
     c.add_argument("--fixture", help="folder of API responses to use instead of the network")
     c.add_argument("--output", default="output")
     c = sub.add_parser("inspect", help="report on a dataset")
@@ -33,6 +33,7 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--output", default="filtered")
     c.add_argument("--debug-mode", action="store_true", help="keep tests and fixtures")
     c.add_argument("--split-docs", action="store_true")
+    c.add_argument("--passthrough", action="store_true", help="copy side files unchanged")
     c = sub.add_parser("prepare", help="extract training examples")
     c.add_argument("dataset")
     c.add_argument("--output", default="prepared")
@@ -66,13 +67,15 @@ def main(argv: list[str] | None = None) -> int:
     if a.command == "run":
         plan = config.parse_plan(a.plan)
         repos = jobs.candidates(spark, plan, a.fixture, os.environ.get(plan.token_env))
-        LOG.info("%s", jobs.run(spark, plan, repos, jobs.files_of_archives(spark, a.archives, repos), a.output))
+        files = jobs.files_of_archives(spark, a.archives or jobs.fetched(spark, repos, f"{a.output}/_archives"), repos)
+        repos = jobs.with_licenses(spark, repos, files, a.fixture, os.environ.get(plan.token_env))
+        LOG.info("%s", jobs.run(spark, plan, repos, files, a.output))
     elif a.command == "inspect":
         for name, df in jobs.inspect(spark, a.dataset).items():
             LOG.info("%s", name)
             df.show(truncate=False)
     elif a.command == "filter":
-        jobs.filter_dataset(spark, a.dataset, a.output, a.debug_mode, a.split_docs).show()
+        jobs.filter_dataset(spark, a.dataset, a.output, a.debug_mode, a.split_docs, a.passthrough).show()
     elif a.command == "prepare":
         LOG.info("%s", jobs.prepare(spark, a.dataset, a.output, a.mode, a.max_file_size_kb, a.max_examples))
     else:

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import content, fixed
+
 API_SCHEMA = (
     "full_name string, name string, owner struct<login:string>, stargazers_count long, language string, license struct<spdx_id:string>, "
     "description string, default_branch string, html_url string, fork boolean"
@@ -63,6 +65,12 @@ def resolve_license(repos: DataFrame, api: DataFrame, files: DataFrame) -> DataF
     return out.withColumn("license", F.coalesce("license", "api_license", "file_license")).drop("api_license", "file_license")
 
 
+def license_files(files: DataFrame) -> DataFrame:
+    """What the licence files (rel_path within the repository, text) say: full_name, file_rank, file_license."""
+    rank = F.array_position(F.array(*[F.lit(x) for x in fixed.LICENSE_FILES]), F.col("rel_path"))
+    return files.where(F.col("rel_path").isin(fixed.LICENSE_FILES)).select("full_name", rank.alias("file_rank"), content.license_of_text(F.col("text")).alias("file_license"))
+
+
 def eligible(repos: DataFrame, min_stars: int = 0, languages: list[str] | None = None, allowed: list[str] | None = None, require: bool = True) -> DataFrame:
     return repos.where(stars_at_least(min_stars) & language_allowed(languages) & license_allowed(F.col("license"), allowed or [], require))
 

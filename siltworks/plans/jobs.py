@@ -36,11 +36,28 @@ def candidates(spark: SparkSession, plan: Plan, fixture: str | None = None, toke
     return discover.merge_candidates(*parts)
 
 
-def files_of_archives(spark: SparkSession, glob: str, repos: DataFrame) -> DataFrame:
-    """files of archives named owner__repo.<ending>, for the given repositories, in their order."""
+def files_of_archives(spark: SparkSession, source: str | DataFrame, repos: DataFrame) -> DataFrame:
+    """files of archives named owner__repo.<ending> (a glob, or rows of path and content), for the given repositories, in
+    their order."""
     name = F.regexp_replace(F.element_at(F.split("archive", "/"), -1), r"\.(tar\.gz|tgz|zip)$", "")
     order = repos.select("full_name", (F.col("src_rank") * (1 << 40) + F.col("src_pos")).alias("repo_ord"))
-    return files.archives(spark, glob).withColumn("full_name", paths.decode_repo(name)).drop("archive").join(order, "full_name")
+    own = files.archives(spark, source) if isinstance(source, str) else files.members(source.where("content is not null"))
+    return own.withColumn("full_name", paths.decode_repo(name)).drop("archive").join(order, "full_name")
+
+
+def fetched(spark: SparkSession, repos: DataFrame, folder: str) -> DataFrame:
+    """The repositories' archives, fetched once into a table in folder; failures stay there as rows with an error."""
+    api.fetch_archives(repos).write.mode("overwrite").parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def with_licenses(spark: SparkSession, repos: DataFrame, source: DataFrame, fixture: str | None = None, token: str | None = None) -> DataFrame:
+    """repos whose missing licences are asked of the licence API, then read from their licence files."""
+    missing = [r.full_name for r in repos.where("license is null").select("full_name").toLocalIterator()]
+    api.register(spark)
+    options = {k: v for k, v in {"fixture": fixture, "token": token, "names": ",".join(missing), "kind": "licenses"}.items() if v}
+    told = spark.read.format("code_repositories").options(**options).load().select("full_name", F.col("license.spdx_id").alias("api_license"))
+    return discover.resolve_license(repos, told, discover.license_files(files.with_text(source)))
 
 
 def run(spark: SparkSession, plan: Plan, repos: DataFrame, source: DataFrame, target: str) -> dict:
@@ -80,13 +97,18 @@ def inspect(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     }
 
 
-def filter_dataset(spark: SparkSession, root: str, target: str, debug: bool = False, split_docs: bool = False) -> DataFrame:
-    """Copy what stays to target/data, or target/code and target/docs; the counts by outcome."""
+def filter_dataset(spark: SparkSession, root: str, target: str, debug: bool = False, split_docs: bool = False, passthrough: bool = False) -> DataFrame:
+    """Copy what stays to target/data, or target/code and target/docs; the counts by outcome.
+
+    passthrough also copies the side files as they are, which then tell of files that were removed.
+    """
     base = files.find_data_dir(spark, root)
     outcomes = report.filter_outcomes(files.tree(spark, base), debug, split_docs)
     for part in ("code", "docs") if split_docs else ("data",):
         inner = outcomes.where(F.col("outcome") == part).withColumn("rel_path", F.regexp_replace("rel_path", "^[^/]+/", ""))
         sinks.write_tree(inner, f"{target}/{part}")
+    for name in ("manifest.json", "stats.json", "metadata.jsonl", "plan.me") if passthrough else ():
+        files.copy(spark, f"{root.rstrip('/')}/{name}", f"{target}/{name}")
     return report.outcome_counts(outcomes)
 
 

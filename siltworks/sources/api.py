@@ -1,7 +1,8 @@
 """Repository discovery as a Python data source: pages of a search, of users, or single names.
 
 With the option ``fixture`` (a directory) responses are read from JSON files instead of the network:
-``search-<page>.json``, ``user-<user>-<page>.json``, ``repo-<owner>__<name>.json``; a missing file is a 404.
+``search-<page>.json``, ``user-<user>-<page>.json``, ``repo-<owner>__<name>.json``, ``license-<owner>__<name>.json``; a
+missing file is a 404.  Of a licence only full_name and license are filled.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ import urllib.request
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..operators.discover import API_SCHEMA
@@ -98,7 +100,7 @@ class _Reader(DataSourceReader):
 
     def _answer(self, ask: _Ask, limiter: RateLimiter) -> Answer:
         if fixture := self.o.get("fixture"):
-            name = {"search": f"search-{ask.page}", "users": f"user-{ask.name}-{ask.page}"}.get(ask.kind, f"repo-{ask.name.replace('/', '__')}")
+            name = {"search": f"search-{ask.page}", "users": f"user-{ask.name}-{ask.page}"}.get(ask.kind, f"{ask.kind[:-1]}-{ask.name.replace('/', '__')}")
             try:
                 with open(f"{fixture}/{name}.json", encoding="utf-8") as f:
                     return Answer(200, json.load(f), {})
@@ -108,18 +110,22 @@ class _Reader(DataSourceReader):
         url = {
             "search": f"{API}/search/repositories?q={q(ask.name)}&sort=stars&order=desc&per_page={PAGE}&page={ask.page}",
             "users": f"{API}/users/{q(ask.name)}/repos?type=owner&sort=stars&per_page={PAGE}&page={ask.page}",
+            "licenses": f"{API}/repos/{q(ask.name, safe='/')}/license",
         }.get(ask.kind, f"{API}/repos/{q(ask.name, safe='/')}")
         return get(lambda: fetch(url, self.o.get("token")), limiter)
 
     def read(self, partition: _Ask) -> Iterator[tuple]:
-        if partition.kind == "repos" and len([x for x in partition.name.split("/") if x]) != 2:
+        if partition.kind in ("repos", "licenses") and len([x for x in partition.name.split("/") if x]) != 2:
             return
         answer = self._answer(partition, RateLimiter(int(self.o.get("rate", 5))))
         if answer.status == 404:
             return
         if answer.status != 200:
             raise RuntimeError(f"{partition.kind} {partition.name}, page {partition.page}: status {answer.status}")
-        rows = answer.body["items"] if partition.kind == "search" else answer.body if isinstance(answer.body, list) else [answer.body]
+        if partition.kind == "licenses":
+            rows = [{"full_name": partition.name, "license": answer.body.get("license")}]
+        else:
+            rows = answer.body["items"] if partition.kind == "search" else answer.body if isinstance(answer.body, list) else [answer.body]
         for k, r in enumerate(rows):
             owner, lic = r.get("owner") or {}, r.get("license")
             yield (
@@ -129,7 +135,7 @@ class _Reader(DataSourceReader):
 
 
 class RepositorySource(DataSource):
-    """Options: kind (search, users, repos), query or names, limit, token, rate, fixture."""
+    """Options: kind (search, users, repos, licenses), query or names, limit, token, rate, fixture."""
 
     @classmethod
     def name(cls) -> str:
@@ -142,5 +148,31 @@ class RepositorySource(DataSource):
         return _Reader(dict(self.options))
 
 
+ARCHIVES = "https://codeload.github.com"
+FETCHED = "full_name string, path string, content binary, error string"
+
+
+def fetch_archives(repos: DataFrame, base: str = ARCHIVES, timeout: float = 120) -> DataFrame:
+    """The default branches of repos (full_name, default_branch) as archives, a row each.
+
+    A repository that cannot be fetched has an error in place of its content; the others are not touched by it.  base
+    may be any address that urllib opens and that holds <owner>/<repo>/tar.gz/<branch>.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, branch in zip(batch.column("full_name").to_pylist(), batch.column("default_branch").to_pylist(), strict=True):
+                content = error = None
+                try:
+                    with urllib.request.urlopen(f"{base}/{urllib.parse.quote(name)}/tar.gz/{urllib.parse.quote(branch or 'HEAD')}", timeout=timeout) as r:
+                        content = r.read()
+                except (OSError, ValueError) as e:
+                    error = str(e)
+                path = name.replace("/", "__", 1) + ".tar.gz"
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([path]), pa.array([content], pa.binary()), pa.array([error], pa.string())], names=["full_name", "path", "content", "error"])
+
+    return repos.select("full_name", "default_branch").mapInArrow(run, FETCHED)
+
+
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(RepositorySource)

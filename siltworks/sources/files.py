@@ -29,6 +29,15 @@ def entries(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
     return sorted((s.getPath().getName(), s.isDirectory()) for s in fs.listStatus(there))
 
 
+def copy(spark: SparkSession, source: str, target: str) -> bool:
+    """Copy a file or folder if it is there."""
+    fs, there = _fs(spark, source)
+    if not fs.exists(there):
+        return False
+    to_fs, to = _fs(spark, target)
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, there, to_fs, to, False, spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def find_data_dir(spark: SparkSession, root: str) -> str:
     """``data`` under root, or root itself if an entry is named owner__repo."""
     names = dict(entries(spark, root))
@@ -70,13 +79,13 @@ def with_text(files: DataFrame) -> DataFrame:
 ARCHIVE = "archive string, rel_path string, size_bytes long, content binary"
 
 
-def archives(spark: SparkSession, path: str, strip: int = 1) -> DataFrame:
-    """Regular files inside .tar.gz, .tgz and .zip archives, one task an archive.
+def members(packed: DataFrame, strip: int = 1) -> DataFrame:
+    """Regular files inside .tar.gz, .tgz and .zip archives (path, content), a row at a time.
 
     Tar entries lose their first ``strip`` path parts.  Entries that lead outside the archive are left out.
     """
 
-    def members(name: str, data: bytes) -> Iterator[tuple[str, bytes]]:
+    def entries_of(name: str, data: bytes) -> Iterator[tuple[str, bytes]]:
         if name.lower().endswith(".zip"):
             with zipfile.ZipFile(io.BytesIO(data)) as z:
                 for i in z.infolist():
@@ -92,14 +101,19 @@ def archives(spark: SparkSession, path: str, strip: int = 1) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, data in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-                for rel, content in members(name, data.as_py()):
+                for rel, content in entries_of(name, data.as_py()):
                     if posixpath.isabs(rel) or ".." in rel.split("/"):
                         continue
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([name]), pa.array([rel]), pa.array([len(content)], pa.int64()), pa.array([content], pa.binary())], names=["archive", "rel_path", "size_bytes", "content"]
                     )
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, ARCHIVE)
+    return packed.select("path", "content").mapInArrow(run, ARCHIVE)
+
+
+def archives(spark: SparkSession, path: str, strip: int = 1) -> DataFrame:
+    """The files inside the archives that a path or glob names."""
+    return members(spark.read.format("binaryFile").load(path), strip)
 
 
 def read_json_file(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:

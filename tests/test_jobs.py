@@ -96,6 +96,35 @@ def test_run_to_export(spark, fixture, tmp_path):
     assert "stats.json" in zipfile.ZipFile(zipped).namelist()
 
 
+def test_licenses_are_looked_up(spark, fixture, tmp_path):
+    (tmp_path / "api/license-b__y.json").write_text(json.dumps({"license": {"spdx_id": "ISC"}}))
+    repos = jobs.candidates(spark, config.plan_from_dict(PLAN), fixture).withColumn("license", F.when(F.col("full_name") == "c/z", None).otherwise(F.col("license")))
+    arch = tmp_path / "arch"
+    arch.mkdir()
+    archive(arch / "c__z.tar.gz", {"COPYING": "GNU General Public License version 3", "LICENSE.md": "nothing", "sub/LICENSE": "Apache License version 2.0"})
+    source = jobs.files_of_archives(spark, f"{arch}/*", repos)
+    out = {r.full_name: r.license for r in jobs.with_licenses(spark, repos, source, fixture).collect()}
+    assert out == {"a/x": "MIT", "A/x": "MIT", "b/y": "ISC", "c/z": "GPL-3.0"}
+
+
+def test_fetching(spark, tmp_path):
+    there = tmp_path / "o/r/tar.gz"
+    there.mkdir(parents=True)
+    archive(there / "main", {"a.txt": "hi"})
+    repos = spark.createDataFrame([("o/r", "main"), ("o/gone", None)], "full_name string, default_branch string")
+    got = api.fetch_archives(repos, base=f"file://{tmp_path}")
+    assert {r.full_name: r.error is None for r in got.collect()} == {"o/r": True, "o/gone": False}
+    assert [(r.archive, r.rel_path) for r in files.members(got.where("content is not null")).collect()] == [("o__r.tar.gz", "a.txt")]
+
+
+def test_passthrough(spark, tmp_path):
+    (tmp_path / "d/data/o__r").mkdir(parents=True)
+    (tmp_path / "d/data/o__r/a.ts").write_text("x")
+    (tmp_path / "d/stats.json").write_text("{}")
+    jobs.filter_dataset(spark, f"{tmp_path}/d", f"{tmp_path}/f", passthrough=True)
+    assert (tmp_path / "f/stats.json").read_text() == "{}" and (tmp_path / "f/data/o__r/a.ts").exists() and not (tmp_path / "f/plan.me").exists()
+
+
 def test_archives(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
         z.writestr("d/x.txt", "hi")
