@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from functools import reduce
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column
@@ -13,16 +15,17 @@ from pyspark.sql import types as T
 from . import fixed
 from .regex import TRIM, engine
 
-#: Secrets: our own choice of public shapes (which shapes to look for is not given anywhere).
-SECRET_PATTERNS = [
-    r"AKIA[0-9A-Z]{16}",
-    r"gh[pousr]_[A-Za-z0-9]{36,}",
-    r"xox[abprs]-[A-Za-z0-9-]{10,}",
-    r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----",
-    r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{5,}",
-    r"""(?i:api_?key|secret|token|passw(?:or)?d)["']?[ \t]*[:=][ \t]*["'][A-Za-z0-9/+_=.-]{16,}["']""",
+#: Secrets: our own choice of public shapes (which shapes to look for is not given anywhere), each with plain texts of
+#: which one occurs wherever the shape does.
+SECRET_SHAPES = [
+    (r"AKIA[0-9A-Z]{16}", ["AKIA"]),
+    (r"gh[pousr]_[A-Za-z0-9]{36,}", ["ghp_", "gho_", "ghu_", "ghs_", "ghr_"]),
+    (r"xox[abprs]-[A-Za-z0-9-]{10,}", ["xox"]),
+    (r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----", ["-----BEGIN "]),
+    (r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{5,}", ["eyJ"]),
+    (r"""(?i:api_?key|secret|token|passw(?:or)?d)["']?[ \t]*[:=][ \t]*["'][A-Za-z0-9/+_=.-]{16,}["']""", ['"', "'"]),
 ]
-SECRET = "|".join(SECRET_PATTERNS)
+SECRET = "|".join(shape for shape, _ in SECRET_SHAPES)
 REDACTED = "[REDACTED]"
 
 
@@ -37,12 +40,14 @@ def license_of_text(text: Column) -> Column:
 
 
 def has_secret(text: Column) -> Column:
-    return text.rlike(SECRET)
+    """Does the text match a shape?  Plain searches come first, so few texts meet a pattern."""
+    hits = [reduce(or_, (text.contains(h) for h in hints)) & text.rlike(shape) for shape, hints in SECRET_SHAPES]
+    return reduce(or_, hits)
 
 
 def redact_secrets(text: Column) -> Column:
     """Lines with a secret become a mark."""
-    return F.regexp_replace(text, rf"(?m)^[^\n]*(?:{SECRET})[^\n]*$", r"\[REDACTED\]")
+    return F.when(has_secret(text), F.regexp_replace(text, rf"(?m)^[^\n]*(?:{SECRET})[^\n]*$", r"\[REDACTED\]")).otherwise(text)
 
 
 def entropy_of(text: str | None) -> float | None:
