@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .common import WORD, materialise, small
 
+FILLS = 3  # documents that fill a source's gap
 BUCKET_DIGITS = 3  # hex digits of the seeded order that make a histogram bucket: 4096 a source
 
 
@@ -50,10 +51,11 @@ def targets(sized: DataFrame, weights: tuple[float, ...], share: float, max_epoc
 
 
 def choices(sized: DataFrame, weights: tuple[float, ...], share: float, max_epochs: float) -> DataFrame:
-    """targets() with what decides each document: whole (repetitions of all), cut_u and fill_u.
+    """targets() with what decides each document: whole (repetitions of all), cut_u and fills.
 
     A document is taken once more if its place u is up to cut_u, so far as whole documents fit into what is left of
-    the target, or if it is at fill_u: the one that comes nearest to the gap that remains.
+    the target, or if it is among fills: the largest others that fit into the gap that remains, one after another, and
+    last the one that comes nearest to it.
     """
     spark = sized.sparkSession
     t = targets(sized, weights, share, max_epochs)
@@ -71,16 +73,24 @@ def choices(sized: DataFrame, weights: tuple[float, ...], share: float, max_epoc
     inside = inside.where("sum_u <= left").groupBy(*on).agg(F.max("u").alias("in_u"), F.max("sum_u").alias("in_sum"))
     cut = edge.join(inside, on, "left").select(*on, F.coalesce("in_u", "bucket").alias("cut_u"), F.greatest(F.coalesce("in_sum", F.lit(0)), "before").alias("got"))
     t = materialise(t.join(cut, on, "left").withColumn("gap", F.when(F.col("cut_u").isNull(), 0.0).otherwise(F.col("left") - F.col("got"))), "mix-cuts")
-    rest = keyed.join(small(t.where("gap > 0").select(*on, "cut_u", "gap")), on).where("u > cut_u").withColumn("miss", F.abs(F.col("size") - F.col("gap"))).where("miss < gap")
-    nearest = materialise(rest.groupBy(*on).agg(F.min("miss").alias("miss")), "mix-nearest")
-    fill = rest.join(small(nearest), [*on, "miss"]).groupBy(*on).agg(F.min("u").alias("fill_u"))
-    return materialise(t.join(fill, on, "left"), "mix-choices")
+    t = t.withColumn("fills", F.array().cast("array<string>"))
+    for k in range(FILLS):
+        rest = keyed.join(small(t.where("gap > 0").select(*on, "cut_u", "gap", "fills")), on).where((F.col("u") > F.col("cut_u")) & ~F.array_contains("fills", F.col("u")))
+        rest = rest.withColumn("miss", F.abs(F.col("size") - F.col("gap"))).where("size > 0 and " + ("miss < gap" if k == FILLS - 1 else "size <= gap"))
+        nearest = materialise(rest.groupBy(*on).agg(F.min("miss").alias("miss")), "mix-nearest")
+        fill = rest.join(small(nearest), [*on, "miss"]).groupBy(*on).agg(F.min("u").alias("_u"), F.min_by("size", "u").alias("_size"))
+        t = t.join(fill, on, "left").withColumns({
+            "fills": F.when(F.col("_u").isNull(), F.col("fills")).otherwise(F.array_append("fills", F.col("_u"))),
+            "gap": F.col("gap") - F.coalesce("_size", F.lit(0)),
+        })
+        t = materialise(t.drop("_u", "_size"), "mix-fills")
+    return t
 
 
 def _copies(params: DataFrame) -> Column:
     """Repetitions of a row with place u under its source's choices; a null cut_u takes all that is left."""
     more = F.when(F.col("left") > 0, F.coalesce(F.col("u") <= F.col("cut_u"), F.lit(True))).otherwise(False)
-    return F.col("whole") + (more | F.coalesce(F.col("u") == F.col("fill_u"), F.lit(False))).cast("long")
+    return F.col("whole") + (more | F.array_contains("fills", F.col("u"))).cast("long")
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, max_epochs: float = 2.0, seed: int = 7) -> DataFrame:

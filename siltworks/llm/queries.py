@@ -106,12 +106,20 @@ SQL = {
             SELECT s.doc_id, s.size, s.u, l.*, sum(s.size) OVER (PARTITION BY s.source ORDER BY s.u) AS upto
             FROM sized s JOIN lefts l ON s.source IS NOT DISTINCT FROM l.source),
         chosen AS (SELECT *, remaining > 0 AND upto <= remaining AS more FROM ordered),
-        gaps AS (SELECT source, max(remaining) - coalesce(sum(size) FILTER (more), 0) AS gap FROM chosen WHERE remaining > 0 GROUP BY source),
-        fills AS (
-            SELECT c.source, min(c.u) AS fill_u FROM chosen c JOIN gaps g ON c.source IS NOT DISTINCT FROM g.source
-            JOIN (SELECT c.source, min(abs(c.size - g.gap)) AS miss FROM chosen c JOIN gaps g ON c.source IS NOT DISTINCT FROM g.source
-                  WHERE NOT c.more AND abs(c.size - g.gap) < g.gap GROUP BY c.source) m ON c.source IS NOT DISTINCT FROM m.source
-            WHERE NOT c.more AND abs(c.size - g.gap) = m.miss GROUP BY c.source)
-        SELECT c.doc_id, c.size, c.source_size, c.target, (c.size * (c.whole + CASE WHEN c.more OR coalesce(c.u = f.fill_u, false) THEN 1 ELSE 0 END))::BIGINT AS taken
-        FROM chosen c LEFT JOIN fills f ON c.source IS NOT DISTINCT FROM f.source""",
+        gaps0 AS (SELECT source, max(remaining) - coalesce(sum(size) FILTER (more), 0) AS gap, []::VARCHAR[] AS fills FROM chosen WHERE remaining > 0 GROUP BY source),
+        FILL_ROUNDS
+        SELECT c.doc_id, c.size, c.source_size, c.target, (c.size * (c.whole + CASE WHEN c.more OR coalesce(list_contains(g.fills, c.u), false) THEN 1 ELSE 0 END))::BIGINT AS taken
+        FROM chosen c LEFT JOIN gapsLAST g ON c.source IS NOT DISTINCT FROM g.source""",
 }
+
+_ROUND = """
+        best{k} AS (
+            SELECT c.source, c.u, c.size FROM chosen c JOIN gaps{j} g ON c.source IS NOT DISTINCT FROM g.source
+            WHERE NOT c.more AND NOT list_contains(g.fills, c.u) AND g.gap > 0 AND c.size > 0 AND {fits}
+            QUALIFY row_number() OVER (PARTITION BY c.source ORDER BY abs(c.size - g.gap), c.u) = 1),
+        gaps{k} AS (
+            SELECT g.source, g.gap - coalesce(b.size, 0) AS gap, CASE WHEN b.u IS NULL THEN g.fills ELSE list_append(g.fills, b.u) END AS fills
+            FROM gaps{j} g LEFT JOIN best{k} b ON g.source IS NOT DISTINCT FROM b.source)"""
+_LAST = mixing.FILLS
+_ROUNDS = ",".join(_ROUND.format(k=k, j=k - 1, fits="abs(c.size - g.gap) < g.gap" if k == _LAST else "c.size <= g.gap") for k in range(1, _LAST + 1))
+SQL["op9_mixing"] = SQL["op9_mixing"].replace("FILL_ROUNDS", _ROUNDS.strip()).replace("gapsLAST", f"gaps{_LAST}")
