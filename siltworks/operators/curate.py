@@ -58,19 +58,23 @@ def budget_window(files: DataFrame, max_bytes: int) -> DataFrame:
 
 
 def budget(files: DataFrame, max_bytes: int) -> DataFrame:
-    """The same prefix in two levels, with no task that holds all rows.
+    """The same prefix in two levels; files themselves are only filtered, not moved.
 
-    Repositories whose sums fit are taken whole (one row a repository is all the global window sees); only the files
-    of the one in which the budget ends are put in order.
+    The global window sees one row a repository and finds the one in which the budget ends.  The files of that one
+    alone, without their texts, are put in order to find the last that fits.  Both ends are single rows that are
+    broadcast; what lies before them stays.
     """
-    by_repo = files.groupBy("repo_ord").agg(F.sum("size_bytes").alias("_bytes"))
-    upto = F.sum("_bytes").over(Window.orderBy("repo_ord").rowsBetween(Window.unboundedPreceding, 0))
-    ends = by_repo.withColumn("_upto", upto)
-    whole = files.join(ends.where(F.col("_upto") <= max_bytes).select("repo_ord"), "repo_ord", "left_semi")
-    edge = ends.where(F.col("_upto") > max_bytes).orderBy("repo_ord").limit(1).select("repo_ord", (F.col("_upto") - F.col("_bytes")).alias("_before"))
-    run = F.sum("size_bytes").over(Window.partitionBy("repo_ord").orderBy("rel_path", "full_name").rowsBetween(Window.unboundedPreceding, 0))
-    part = files.join(F.broadcast(edge), "repo_ord").withColumn("_run", run + F.col("_before")).where(F.col("_run") <= max_bytes)
-    return whole.unionByName(part.select(*files.columns))
+    place, order = F.struct("rel_path", "full_name"), F.coalesce("repo_ord", F.lit(-(2**63)))
+    by_repo = files.groupBy(order.alias("_ord")).agg(F.sum("size_bytes").alias("_bytes"))
+    upto = by_repo.withColumn("_upto", F.sum("_bytes").over(Window.orderBy("_ord").rowsBetween(Window.unboundedPreceding, 0)))
+    over = F.when(F.col("_upto") > max_bytes, F.struct("_ord", (F.col("_upto") - F.col("_bytes")).alias("before")))
+    edge = upto.agg(F.min(over).alias("_edge"))
+    inside = files.select(order.alias("_ord"), place.alias("_place"), "size_bytes").join(F.broadcast(edge), F.col("_ord") == F.col("_edge._ord"))
+    run = F.sum("size_bytes").over(Window.partitionBy("_ord").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0))
+    last = inside.withColumn("_run", run + F.col("_edge.before")).where(F.col("_run") <= max_bytes).agg(F.max("_place").alias("_last"))
+    ends = edge.crossJoin(F.broadcast(last))
+    keep = F.col("_edge").isNull() | (order < F.col("_edge._ord")) | ((order == F.col("_edge._ord")) & (place <= F.col("_last")))
+    return files.crossJoin(F.broadcast(ends)).where(keep).select(*files.columns)
 
 
 def file_metadata(files: DataFrame, repos: DataFrame) -> DataFrame:

@@ -99,16 +99,20 @@ def all_examples(code: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def numbered(examples: DataFrame) -> DataFrame:
-    """examples with ``seq``, from 1 in canonical order, in two levels.
+    """examples with ``seq``, from 1 in canonical order, in three levels.
 
-    Each repository's number of examples (one row a repository, summed in one task) gives where it starts; within a
-    repository a window counts.
+    Repositories are summed up in one task (a row each), files within their repository (a row each, without texts), and
+    only the examples of one file are put in order as they are.
     """
-    by_repo = examples.groupBy("phase", "repo_ord").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("phase", "repo_ord").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = by_repo.select("phase", "repo_ord", before.alias("_before"))
-    own = F.row_number().over(Window.partitionBy("phase", "repo_ord").orderBy(*PLACE[2:]))
-    return examples.withColumn("_own", own).join(starts, ["phase", "repo_ord"]).withColumn("seq", F.col("_own") + F.col("_before")).drop("_own", "_before")
+    repo, file = PLACE[:2], PLACE[:4]
+    by_file = examples.groupBy(*file).agg(F.count(F.lit(1)).alias("_n"))
+    by_repo = by_file.groupBy(*repo).agg(F.sum("_n").alias("_all"))
+    upto = lambda n, w: F.coalesce(F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = by_repo.select(*repo, upto("_all", Window.orderBy(*repo)).alias("_before"))
+    starts = by_file.withColumn("_inner", upto("_n", Window.partitionBy(*repo).orderBy("rel_path", "full_name"))).join(starts, repo)
+    own = F.row_number().over(Window.partitionBy(*file).orderBy("gen_rank", "match_pos"))
+    out = examples.withColumn("_own", own).join(starts.select(*file, (F.col("_inner") + F.col("_before")).alias("_start")), file)
+    return out.withColumn("seq", F.col("_own") + F.col("_start")).drop("_own", "_start")
 
 
 def with_ids(examples: DataFrame) -> DataFrame:
