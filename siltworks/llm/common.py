@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -38,25 +37,26 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df once to the shared folder and read it from there.
 
-    Later steps start from the written table: its lineage is cut, it outlives lost executors, and what was
-    shuffled to make it can be released, once nothing refers to df.
+    Later steps start from the written table: its lineage is cut, it outlives lost executors, and the shuffle files
+    that made it are dropped as soon as it is written.
     """
     spark = df.sparkSession
-    path = new_path(spark, name)
-    schema = df.schema
-    df.write.parquet(path)
+    path, schema = new_path(spark, name), df.schema
+    before = spark.conf.get(_CLEANUP, None)
+    try:
+        spark.conf.set(_CLEANUP, "true")
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Let the driver's cleaner drop shuffle files that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def small(df: DataFrame, most_rows: int = 20_000) -> DataFrame:
     """Mark df for broadcast if it holds at most most_rows rows (counted here), else leave the choice to Spark."""
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
