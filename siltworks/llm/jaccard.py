@@ -98,8 +98,9 @@ def sketches(docs: DataFrame, gram: int, hashes: int) -> DataFrame:
 
 
 def forest(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[list[int], list[int]]:
-    """Edges (of ids) that span what the pairs i, j (places) connect."""
-    up = np.arange(len(ids))
+    """Edges (of ids) that span what the pairs i, j (places) connect: each id with the smallest that it reaches."""
+    names, place = np.unique(ids, return_inverse=True)
+    i, j, up = place[i], place[j], np.arange(len(names))
     while len(i):  # hook the larger root on the smaller, then shorten, until all pairs agree
         a, b = up[i], up[j]
         hi, lo = np.maximum(a, b), np.minimum(a, b)
@@ -109,9 +110,8 @@ def forest(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[list[int], li
         np.minimum.at(up, hi[diff], lo[diff])
         while (up[up] != up).any():
             up = up[up]
-    at = np.flatnonzero(up != np.arange(len(ids)))
-    keep = ids[at] != ids[up[at]]
-    return ids[at][keep].tolist(), ids[up[at]][keep].tolist()
+    at = np.flatnonzero(up != np.arange(len(names)))
+    return names[at].tolist(), names[up[at]].tolist()
 
 
 def _candidates(rows: pa.Table, sig: np.ndarray, bands: int, own_only: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
