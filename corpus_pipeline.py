@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from siltworks.llm import classifier, exact_dedup, jaccard, mixing, packing
-from siltworks.llm.common import materialise
+from siltworks.llm.common import settle, tables_written
 
 ORACLE_SQL = None  # trained and hashed stages have no SQL; a test compares with a brute-force version
 
@@ -48,8 +48,12 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written to the shared folder and read by the next."""
+    """All stages over documents, each written to the shared folder and read by the next.
+
+    What a stage wrote on its way is deleted with its end.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        since = tables_written()
+        docs = settle(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}", since)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -28,15 +28,38 @@ def shared_dir(spark: SparkSession) -> str:
     return at
 
 
+_WRITTEN: list[str] = []  # places given out by new_path, oldest first
+
+
+def _there(spark: SparkSession, path: str):
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), there
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh place in the shared folder, removed when the driver ends."""
     path = f"{shared_dir(spark)}/siltworks/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    there = jvm.org.apache.hadoop.fs.Path(path)
-    there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(there)
+    fs, there = _there(spark, path)
+    fs.deleteOnExit(there)
+    _WRITTEN.append(path)
     return path
 
 
+def settle(df: DataFrame, name: str, since: int) -> DataFrame:
+    """materialise(df), and delete what was written since ``since`` (a value of tables_written()) to compute it."""
+    out = materialise(df, name)
+    for path in _WRITTEN[since:-1]:
+        fs, there = _there(df.sparkSession, path)
+        fs.delete(there, True)
+        fs.cancelDeleteOnExit(there)
+    del _WRITTEN[since:-1]
+    return out
+
+
+def tables_written() -> int:
+    return len(_WRITTEN)
+
+
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
