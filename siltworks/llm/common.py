@@ -89,6 +89,19 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def even_labels(spark: SparkSession, n: int) -> list[int]:
+    """n numbers of which hash partitioning into n parts gives each part one.
+
+    Numbers 0 .. n - 1 would leave a third of the parts empty and put several into others.  Beyond 4096 parts, where a
+    part is a small share of a stage, plain numbers do.
+    """
+    if n > 4096:
+        return list(range(n))
+    ids = spark.range(64 * n).select("id", F.pmod(F.hash("id"), F.lit(n)).alias("part"))
+    found = {r["part"]: r["id"] for r in ids.groupBy("part").agg(F.min("id").alias("id")).collect()}
+    return [found[k] for k in range(n)] if len(found) == n else list(range(n))
+
+
 def with_leaders(df: DataFrame, key: list[str], member: Column, pick: Callable[[Column], Column] = F.min) -> DataFrame:
     """df with ``leader`` (the picked member of each row's group) and ``group_size``.
 

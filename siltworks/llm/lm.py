@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, stream_groups
+from .common import even_labels, partitions, stream_groups
 from .textops import Chunk, chunks, grams, within
 
 _U = np.uint64
@@ -127,7 +127,9 @@ def lm_scores(docs: DataFrame, order: int = 2, alpha: float = 0.4, least: int =
     spark = docs.sparkSession
     blocks = blocks or partitions(spark)
     text = F.coalesce("text", F.lit(""))
-    dealt = docs.select("doc_id", text.alias("text")).withColumn("block", F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(blocks))).repartition(blocks, "block")
+    labels = F.array(*[F.lit(x).cast("long") for x in even_labels(spark, blocks)])
+    block = F.element_at(labels, (F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(blocks)) + 1).cast("int"))
+    dealt = docs.select("doc_id", text.alias("text")).withColumn("block", block).repartition(blocks, "block")
     counts = count_in_corpus(count_in_blocks(dealt, order, blocks), least, blocks)
     words = count_words(docs)
 

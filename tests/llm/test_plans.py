@@ -65,3 +65,10 @@ def test_a_large_class_meets_in_blocks(spark):
         data.append((i, " ".join(w), "s"))
     got = sorted(tuple(r) for r in jaccard.jaccard_classes(docs(spark, data), block=20).collect())
     assert got == brute.jaccard([(d, t) for d, t, _ in data])
+
+
+def test_labels_fill_all_parts(spark):
+    for n in (1, 5, 51, 211):
+        labels = common.even_labels(spark, n)
+        df = spark.createDataFrame([(x,) for x in labels], "b long").repartition(n, "b")
+        assert len(set(labels)) == n and df.rdd.glom().map(len).collect() == [1] * n
