@@ -84,28 +84,25 @@ def count_in_blocks(dealt: DataFrame, order: int, parts: int) -> DataFrame:
 
 
 def count_in_corpus(table: DataFrame, least: int, parts: int) -> DataFrame:
-    """The same rows with counts in the corpus, without the n-grams (n > 1) that are rarer than least."""
+    """n, part, block, counts: for each row of the table the counts in the corpus, in the order of its hashes.
 
-    def total(rows: pa.Table) -> pa.RecordBatch | None:
-        n = rows.column("n")[0].as_py()
+    N-grams (n > 1) that are rarer than least count 0.  The hashes do not travel back: a block has them.
+    """
+
+    def total(rows: pa.Table) -> pa.RecordBatch:
+        n, part = rows.column("n")[0].as_py(), rows.column("part")[0].as_py()
         own = [stretched(x.as_py(), True) for x in rows.column("hashes")]
         keys, inverse = np.unique(np.concatenate(own), return_inverse=True)
         counts = np.concatenate([stretched(x.as_py(), False) for x in rows.column("counts")])
         sums = np.zeros(len(keys), np.int64)
         np.add.at(sums, inverse, counts)
-        at, out = 0, []
-        for b, k in zip(rows.column("block").to_pylist(), own, strict=True):
-            mine = sums[inverse[at : at + len(k)]]
-            keep = mine >= (least if n > 1 else 1)
-            at += len(k)
-            if keep.any():
-                out.append((n, b, squeezed(k[keep], True), squeezed(mine[keep], False)))
-        if not out:
-            return None
-        kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["n", "block", "hashes", "counts"])
+        sums[sums < (least if n > 1 else 1)] = 0
+        ends = np.cumsum([len(k) for k in own])
+        back = [squeezed(sums[inverse[e - len(k) : e]], False) for k, e in zip(own, ends, strict=True)]
+        m = len(own)
+        return pa.RecordBatch.from_arrays([pa.array([n] * m, pa.int32()), pa.array([part] * m, pa.int32()), rows.column("block").combine_chunks(), pa.array(back, pa.binary())], names=["n", "part", "block", "counts"])
 
-    return stream_groups(table, ["part", "n"], total, "n int, block long, hashes binary, counts binary", parts)
+    return stream_groups(table, ["part", "n"], total, "n int, part int, block long, counts binary", parts)
 
 
 def count_words(docs: DataFrame) -> int:
@@ -134,41 +131,38 @@ def lm_scores(docs: DataFrame, order: int = 2, alpha: float = 0.4, least: int =
     words = count_words(docs)
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        n, tables = right.column("n").to_numpy(), []
+        n, part = right.column("n").to_numpy(), right.column("part").to_numpy()
+        pieces = lambda: (c for batch in left.to_batches() for c in chunks(batch.column("text")))
+        every = [[g for g, _ in exploded(c, order)] for c in pieces()]
+        found = []  # for each n the counts of the block's n-grams, in the order of its texts
         for k in range(1, order + 1):
+            _, inverse = np.unique(np.concatenate([np.zeros(0, np.uint64), *(x[k - 1] for x in every)]), return_inverse=True)
             own = np.flatnonzero(n == k)
-            keys = np.concatenate([np.zeros(0, np.uint64), *(stretched(right.column("hashes")[i].as_py(), True) for i in own)])
-            total = np.concatenate([np.zeros(0, np.int64), *(stretched(right.column("counts")[i].as_py(), False) for i in own)])
-            at = np.argsort(keys, kind="stable")
-            tables.append((keys[at], total[at]))
-
-        def look(k: int, asked: np.ndarray) -> np.ndarray:
-            have, count = tables[k - 1]
-            if not len(have) or not len(asked):
-                return np.zeros(len(asked), np.int64)
-            at = np.minimum(np.searchsorted(have, asked), len(have) - 1)
-            return np.where(have[at] == asked, count[at], 0)
-
-        sums, sizes = [], []
-        for batch in left.to_batches():
-            for c in chunks(batch.column("text")):
-                grams_ = exploded(c, order)
-                seen = [look(k, g) for k, (g, _) in enumerate(grams_, 1)]
-                value = np.log(np.maximum(seen[0], 1) / max(words, 1)) + 0.0
-                place = np.arange(len(value)) - np.repeat(c.bounds[:-1], np.diff(c.bounds))
-                value += np.log(alpha) * np.minimum(place, order - 1)
-                for k in range(2, order + 1):  # longer contexts overwrite shorter ones
-                    at = grams_[k - 1][1]
-                    last = at + k - 1
-                    ok = seen[k - 1] >= least
-                    before = np.zeros(len(grams_[0][0]) + 1, np.int64)
-                    before[grams_[k - 2][1]] = seen[k - 2]
-                    down = np.minimum(place[last], order - 1) - (k - 1)
-                    new = np.log(np.maximum(seen[k - 1], 1) / np.maximum(before[at], 1)) + np.log(alpha) * down
-                    value[last[ok]] = new[ok]
-                own = np.diff(c.bounds)
-                sums.append(np.array([value[a:b].sum() for a, b in zip(c.bounds, c.bounds[1:], strict=False)]))
-                sizes.append(own)
+            counts = [stretched(right.column("counts")[i].as_py(), False) for i in own[np.argsort(part[own])]]
+            found.append(np.concatenate([np.zeros(0, np.int64), *counts])[inverse])
+        del every
+
+        sums, sizes, at_ = [], [], [0] * order
+        for c in pieces():  # exploded again, rather than held
+            grams_, seen = exploded(c, order), []
+            for k in range(order):
+                seen.append(found[k][at_[k] : at_[k] + len(grams_[k][0])])
+                at_[k] += len(grams_[k][0])
+            value = np.log(np.maximum(seen[0], 1) / max(words, 1)) + 0.0
+            place = np.arange(len(value)) - np.repeat(c.bounds[:-1], np.diff(c.bounds))
+            value += np.log(alpha) * np.minimum(place, order - 1)
+            for k in range(2, order + 1):  # longer contexts overwrite shorter ones
+                at = grams_[k - 1][1]
+                last = at + k - 1
+                ok = seen[k - 1] >= least
+                before = np.zeros(len(grams_[0][0]) + 1, np.int64)
+                before[grams_[k - 2][1]] = seen[k - 2]
+                down = np.minimum(place[last], order - 1) - (k - 1)
+                new = np.log(np.maximum(seen[k - 1], 1) / np.maximum(before[at], 1)) + np.log(alpha) * down
+                value[last[ok]] = new[ok]
+            own = np.diff(c.bounds)
+            sums.append(np.array([value[a:b].sum() for a, b in zip(c.bounds, c.bounds[1:], strict=False)]))
+            sizes.append(own)
         s, m = np.concatenate([np.zeros(0), *sums]), np.concatenate([np.zeros(0, np.int64), *sizes])
         mean = pa.array(np.where(m > 0, s / np.maximum(m, 1), 0.0), mask=m == 0)
         return pa.table([left.column("doc_id"), pa.array(m), pa.array(s), mean], names=["doc_id", "n_words", "score", "mean_score"])
