@@ -7,8 +7,12 @@ nearest ``k``.  Pairs at the threshold or above are links.
 A list whose ``k`` entries are all links is saturated: what lies behind its end is unknown.  Such a list is enlarged
 to its whole component: members within half the threshold's angle of the component's first member are linked to each
 other by the triangle inequality on angles and are only counted; the others meet all members, block by block, so no
-task holds more than two blocks and no pair leaves a task.  A sample of nodes is compared with all others to audit
-recall; below the target, more tables and rounds follow.
+task holds more than two blocks and no pair leaves a task.  Links that full lists pushed out may lead to other
+components.  They end in full lists on both sides, so the components of full lists are compared as balls (a pivot and
+the largest angle from it), and where two balls are near enough for a link, their members: components that any link
+joins become one before links are counted.
+
+A sample of nodes is compared with all others to audit recall; below the target, more tables and rounds follow.
 """
 
 from __future__ import annotations
@@ -21,8 +25,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, stream_groups, with_leaders
+from .common import block_pairs, materialise, partitions, stream_groups, with_leaders
 from .graph import components
+from .jaccard import forest
 
 NO_ID = -(2**63)
 
@@ -187,6 +192,96 @@ def block_links(members: DataFrame, kind: str, threshold: float, block: int) ->
     return inner.unionByName(outer).groupBy("id").agg(F.sum("links").alias("links"))
 
 
+def crossing(members: DataFrame, kind: str, threshold: float, block: int) -> DataFrame:
+    """Pairs (a, b) of ids of members (comp, id, vec) that join all components between which a link exists.
+
+    A link between two components needs pivots within both radii and the threshold's angle.  Pivots meet in pairs of
+    blocks; of those that are links themselves a spanning forest is kept.  Components that are near enough and not
+    joined by it have their members compared, also in pairs of blocks.  The work grows with the square of the number
+    of components.
+    """
+    spark = members.sparkSession
+    members = materialise(members.select("comp", "id", "vec"), "vector-crossing")
+    first = members.groupBy("comp").agg(F.min_by("vec", "id").alias("pivot"), F.min("id").alias("pid"))
+
+    def angle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, pivot = batch.column("vec"), batch.column("pivot")
+            cos = [float((unit([v.as_buffer()], kind) * unit([p.as_buffer()], kind)).sum()) for v, p in zip(raw, pivot, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("comp"), pa.array(np.arccos(np.clip(cos, -1, 1)), pa.float64())], names=["comp", "angle"])
+
+    radius = members.join(first, "comp").select("comp", "vec", "pivot").mapInArrow(angle, "comp long, angle double").groupBy("comp").agg(F.max("angle").alias("radius"))
+    size = members.groupBy("comp").agg(F.count(F.lit(1)).alias("n"))
+    balls = materialise(first.join(radius, "comp").join(size, "comp").withColumn("all", F.lit(0)), "vector-balls")
+    n = balls.count()
+    if n < 2:
+        return spark.createDataFrame([], "a long, b long")
+    dealt = lambda df: block_pairs(df, "all", "comp", F.lit(n), block)
+    reach = float(np.arccos(threshold)) + 1e-6  # arc cosines near 1 lose half of the digits
+
+    def meet(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Places of the pivots of one length of a pair of blocks and their cosines, each pair once, strip by strip."""
+        own, raw = rows.column("_own").to_numpy(), [x.as_buffer() for x in rows.column("pivot")]
+        cross = rows.column("_lo")[0].as_py() != rows.column("_hi")[0].as_py()
+        for wide in {len(x) for x in raw}:
+            at = np.array([i for i, x in enumerate(raw) if len(x) == wide])
+            x = unit([raw[i] for i in at], kind)
+            left, right = (np.flatnonzero(own[at] == own[0]), np.flatnonzero(own[at] != own[0])) if cross else (np.arange(len(at)),) * 2
+            for k in range(0, len(left), 256):
+                part = left[k : k + 256]
+                sim = x[part] @ x[right].T
+                if not cross:
+                    sim[part[:, None] >= right[None, :]] = -3
+                yield at[part], at[right], sim
+
+    def linked(rows: pa.Table) -> pa.RecordBatch | None:
+        ids, a, b = rows.column("pid").to_numpy(), [], []
+        for left, right, sim in meet(rows):
+            i, j = np.nonzero(sim >= threshold)
+            a.append(left[i])
+            b.append(right[j])
+        a, b = forest(ids, np.concatenate(a), np.concatenate(b))
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    keys = ["all", "_lo", "_hi"]
+    joined = materialise(stream_groups(dealt(balls.select("all", "comp", "pid", "pivot")), keys, linked, "a long, b long", partitions(spark)), "vector-crossing")
+    group = components(joined).select(F.col("node").alias("pid"), F.col("component").alias("joined"))
+    grouped = materialise(balls.join(group, "pid", "left").withColumn("joined", F.coalesce("joined", "pid")), "vector-balls")
+
+    def close(rows: pa.Table) -> pa.RecordBatch | None:
+        comp, joined, radius = (rows.column(c).to_numpy() for c in ("comp", "joined", "radius"))
+        a, b = [], []
+        for left, right, sim in meet(rows):
+            far = np.minimum(radius[left][:, None] + radius[right][None, :] + reach, np.pi)
+            i, j = np.nonzero((sim > -3) & (sim >= np.cos(far) - 1e-9) & (joined[left][:, None] != joined[right][None, :]))
+            a.append(comp[left[i]])
+            b.append(comp[right[j]])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a), pa.int64()), pa.array(np.concatenate(b), pa.int64())], names=["c", "d"])
+
+    parted = dealt(grouped.select("all", "comp", "pivot", "radius", "joined"))
+    maybe = materialise(stream_groups(parted, keys, close, "c long, d long", partitions(spark)), "vector-close")
+    blocks = lambda c: F.ceil(F.col(c) / F.lit(float(block))).cast("int")
+    maybe = maybe.join(size.select(F.col("comp").alias("c"), blocks("n").alias("cs")), "c").join(size.select(F.col("comp").alias("d"), blocks("n").alias("ds")), "d")
+    side = lambda c, n: members.withColumnRenamed("comp", c).join(maybe, c).withColumn("own", F.pmod(F.xxhash64("id"), F.col(n).cast("long")).cast("int"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    one = side("c", "cs").withColumn("other", every("ds")).select("c", "d", F.col("own").alias("lo"), F.col("other").alias("hi"), F.lit(True).alias("first"), "id", "vec")
+    two = side("d", "ds").withColumn("other", every("cs")).select("c", "d", F.col("other").alias("lo"), F.col("own").alias("hi"), F.lit(False).alias("first"), "id", "vec")
+
+    def any_link(rows: pa.Table) -> pa.RecordBatch | None:
+        ids, is_first = rows.column("id").to_numpy(), rows.column("first").to_numpy(zero_copy_only=False)
+        if is_first.all() or not is_first.any():
+            return None
+        x = unit(rows.column("vec"), kind)
+        sim = x[is_first] @ x[~is_first].T
+        i, j = np.unravel_index(int(sim.argmax()), sim.shape)
+        if sim[i, j] < threshold:
+            return None
+        return pa.RecordBatch.from_arrays([pa.array(ids[is_first][[i]]), pa.array(ids[~is_first][[j]])], names=["a", "b"])
+
+    met = stream_groups(one.unionByName(two), ["c", "d", "lo", "hi"], any_link, "a long, b long", partitions(spark))
+    return materialise(joined.unionByName(met), "vector-crossing")
+
+
 def audit(nodes: DataFrame, links: DataFrame, kind: str, threshold: float, sample: int = 256) -> tuple[int, int]:
     """Links found and all links of a seeded sample of at most ``sample`` nodes, each compared with every node."""
     asked = nodes.orderBy(F.xxhash64("id")).limit(sample).select("id", "vec").collect()
@@ -212,6 +307,10 @@ def audit(nodes: DataFrame, links: DataFrame, kind: str, threshold: float, sampl
     return int(row[0] or 0), int(row[1] or 0)
 
 
+def _members(comp: DataFrame, nodes: DataFrame) -> DataFrame:
+    return materialise(comp.select(F.col("component").alias("comp"), F.col("node").alias("id")).join(nodes, "id"), "vector-members")
+
+
 def near_vectors(emb: DataFrame, threshold: float = 0.95, k: int = 12, tables: int = 14, rounds: int = 3, target: float = 0.98, block: int = 1024, report: dict | None = None) -> DataFrame:
     """One row per row of emb (vec_id, embedding): vec_id, n_links, component_id, kept.
 
@@ -238,14 +337,17 @@ def near_vectors(emb: DataFrame, threshold: float = 0.95, k: int = 12, tables: i
             if lists.where("new").count() <= 0.02 * k * n:
                 break
         near = lists.where(F.col("sim") >= threshold)
-        full = near.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k).select(F.col("a").alias("node"))
+        full = materialise(near.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k).select(F.col("a").alias("node")), "vector-full")
         comp = materialise(components(near.select("a", "b")), "vector-components")
+        ends = comp.join(full, "node").select(F.col("component").alias("comp"), F.col("node").alias("id")).join(nodes, "id")
+        more = crossing(ends, kind, threshold, block)
+        if not more.isEmpty():
+            comp = materialise(components(near.select("a", "b").unionByName(more)), "vector-components")
         wide = materialise(comp.join(full, "node", "left_semi").select("component").distinct(), "vector-saturated")
         pairs = near.select("a", "b").unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
         pairs = pairs.join(comp.join(wide, "component", "left_anti").select(F.col("node").alias("a")), "a")
         few = pairs.join(nodes.select(F.col("id").alias("b"), "weight"), "b").groupBy("a").agg(F.sum("weight").alias("links")).select(F.col("a").alias("id"), "links")
-        members = comp.join(wide, "component").select(F.col("component").alias("comp"), F.col("node").alias("id")).join(nodes, "id")
-        links = materialise(few.unionByName(block_links(materialise(members, "vector-members"), kind, threshold, block)), "vector-links")
+        links = materialise(few.unionByName(block_links(_members(comp.join(wide, "component"), nodes), kind, threshold, block)), "vector-links")
         found, true = audit(nodes, links, kind, threshold)
         if report is not None:
             report.update(found=found, true=true, recall=found / true if true else 1.0, attempts=attempt + 1)

@@ -165,6 +165,38 @@ def test_vectors(spark, kind):
     assert report["recall"] == 1.0
 
 
+def test_vectors_full_lists(spark):
+    """Links between groups that fill each other's members' lists."""
+    rng = np.random.default_rng(3)
+    near = lambda v, r: v + r * rng.standard_normal(32) / np.sqrt(32)
+    centre = rng.standard_normal(32) / np.sqrt(32)
+    subgroups = [near(centre, 0.15) for _ in range(6)]
+    data = [(i, [float(x) for x in near(subgroups[i % 6], 0.01)]) for i in range(180)]
+    far = rng.standard_normal(32) / np.sqrt(32)
+    for g in range(4):  # a chain of groups: only some members of each are links of the next
+        c = far + 0.2 * g * centre / np.linalg.norm(centre) * np.linalg.norm(far)
+        data += [(1000 + 100 * g + i, [float(x) for x in near(c, 0.13)]) for i in range(30)]
+    report = {}
+    got = collected(vectors.near_vectors(spark.createDataFrame(data, "vec_id long, embedding array<double>"), block=16, report=report))
+    assert got == cosine_truth(data)
+    assert report["recall"] == 1.0
+
+
+def test_crossing(spark):
+    """Components are joined wherever a pair of members is a link, and nowhere else."""
+    rng = np.random.default_rng(8)
+    x = vectors.unit_rows(rng.standard_normal((9, 8))[np.arange(120) % 9] + 0.6 * rng.standard_normal((120, 8)))
+    comp = np.arange(120) // 5
+    members = spark.createDataFrame([(int(c) * 5, i, v.tobytes()) for i, (c, v) in enumerate(zip(comp, x, strict=True))], "comp long, id long, vec binary")
+    u, want = brute.Union(), brute.Union()
+    for r in vectors.crossing(members, "f8", 0.95, 8).collect():
+        u.join(int(comp[r.a]), int(comp[r.b]))
+    for i, j in zip(*np.nonzero(x @ x.T >= 0.95), strict=True):
+        want.join(int(comp[i]), int(comp[j]))
+    assert [u.find(c) for c in range(24)] == [want.find(c) for c in range(24)]
+    assert 1 < len({want.find(c) for c in range(24)}) < 24
+
+
 def test_vectors_edges(spark):
     schema = "vec_id long, embedding array<float>"
     assert vectors.near_vectors(spark.createDataFrame([], schema)).count() == 0
