@@ -13,6 +13,7 @@ from .common import WORD, materialise, small
 
 FILLS = 3  # documents that fill a source's gap
 BUCKET_DIGITS = 3  # hex digits of the seeded order that make a histogram bucket: 4096 a source
+RUNS = "array<struct<lo:string,hi:string,most:double>>"
 
 
 def draw(seed: int) -> Column:
@@ -20,19 +21,23 @@ def draw(seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), F.md5(F.coalesce("text", F.lit("")))))
 
 
+def words(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
 def sizes(docs: DataFrame, seed: int) -> DataFrame:
-    return docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), draw(seed).alias("u"))
+    return docs.select("doc_id", "source", words(F.col("text")).alias("size"), draw(seed).alias("u"))
 
 
 def targets(sized: DataFrame, weights: tuple[float, ...], share: float, max_epochs: float) -> DataFrame:
-    """One row per source: skey, source, source_size, target.
+    """One row per source: skey, source, source_size, mean_size, target.
 
     Sources in code point order, null last, take the weights in turn.  Together they share ``share`` times all sizes.
     A source whose part is above max_epochs times its size is clamped there and its excess reshared by weight among
     the others, until none is above.  Where that ends is found in one pass: with the sources ordered by cap / weight,
     the clamped ones are a prefix, and the level of the others is what is left over their weight.
     """
-    by_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    by_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.avg("size").alias("mean_size"))
     rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
     turn = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod(rank - 1, F.lit(len(weights))) + 1).cast("int"))
     s = by_source.withColumn("weight", turn).withColumn("cap", F.col("source_size") * F.lit(float(max_epochs)))
@@ -47,15 +52,16 @@ def targets(sized: DataFrame, weights: tuple[float, ...], share: float, max_epoc
     free = F.col("level") * F.col("weight") <= F.col("cap")
     level = F.min(F.when(free, F.struct("clamped", "level"))).over(every)["level"]
     target = F.when(level.isNull(), F.col("cap")).otherwise(F.least(F.col("cap"), level * F.col("weight")))
-    return s.select(F.coalesce("source", F.lit("")).alias("skey"), F.col("source").isNull().alias("snull"), "source", "source_size", target.alias("target"))
+    return s.select(F.coalesce("source", F.lit("")).alias("skey"), F.col("source").isNull().alias("snull"), "source", "source_size", "mean_size", target.alias("target"))
 
 
 def choices(sized: DataFrame, weights: tuple[float, ...], share: float, max_epochs: float) -> DataFrame:
-    """targets() with what decides each document: whole (repetitions of all), cut_u and fills.
+    """targets() with what decides each document: whole (repetitions of all), cut_u, fills and runs.
 
     A document is taken once more if its place u is up to cut_u, so far as whole documents fit into what is left of
     the target, or if it is among fills: the largest others that fit into the gap that remains, one after another, and
-    last the one that comes nearest to it.
+    last the one that comes nearest to it.  A source that fills leave further than FILLS mean documents from its
+    target, as a very long document at the cut can, carries on along the order instead (see carried).
     """
     spark = sized.sparkSession
     t = targets(sized, weights, share, max_epochs)
@@ -84,13 +90,76 @@ def choices(sized: DataFrame, weights: tuple[float, ...], share: float, max_epoc
             "gap": F.col("gap") - F.coalesce("_size", F.lit(0)),
         })
         t = materialise(t.drop("_u", "_size"), "mix-fills")
-    return t
-
-
-def _copies(params: DataFrame) -> Column:
-    """Repetitions of a row with place u under its source's choices; a null cut_u takes all that is left."""
+    stray = materialise(t.where(F.abs("gap") > FILLS * F.col("mean_size")), "mix-strays")
+    if stray.isEmpty():
+        return t.withColumn("runs", F.array().cast(RUNS))
+    more = carried(keyed, stray)
+    t = t.join(small(more), on, "left")
+    nearer = F.coalesce(F.abs("run_gap") < F.abs("gap"), F.lit(False))
+    return materialise(t.withColumns({
+        "runs": F.when(nearer, F.col("found")).otherwise(F.array().cast(RUNS)),
+        "fills": F.when(nearer, F.col("last")).otherwise(F.col("fills")),
+        "gap": F.when(nearer, F.col("run_gap")).otherwise(F.col("gap")),
+    }).drop("found", "last", "run_gap"), "mix-carried")
+
+
+def carried(keyed: DataFrame, stray: DataFrame) -> DataFrame:
+    """skey, snull, found (runs), last (fills) and run_gap of sources that go on along the seeded order after the cut.
+
+    Documents that do not fit into what is left are skipped.  A run takes the documents with places in (lo, hi] and
+    sizes up to most; the next begins behind the first document that did not fit, until none fits.  At last the
+    document that comes nearest to what is left is taken, if that is nearer than none.
+    """
+    on = ["skey", "snull"]
+    now = stray.select(*on, F.col("cut_u"), F.col("cut_u").alias("lo"), (F.col("left") - F.col("got")).alias("run_gap"), F.array().cast(RUNS).alias("found"), F.lit(True).alias("open"))
+    now = materialise(now, "mix-runs")
+    while not now.where("open").isEmpty():
+        rest = keyed.join(small(now.where("open").select(*on, "lo", "run_gap")), on).where("u > lo and size > 0 and size <= run_gap")
+        hist = rest.groupBy(*on, "bucket").agg(F.sum("size").alias("n"), F.first("run_gap").alias("run_gap"))
+        upto = F.sum("n").over(Window.partitionBy(*on).orderBy("bucket"))
+        hist = materialise(hist.withColumn("upto", upto), "mix-runs")
+        every = hist.groupBy(*on).agg(F.max("upto").alias("every"))
+        edge = hist.where("upto > run_gap").groupBy(*on).agg(F.min("bucket").alias("bucket"), F.min(F.col("upto") - F.col("n")).alias("before"))
+        edge = materialise(edge, "mix-edges")
+        inside = rest.join(small(edge), [*on, "bucket"])
+        inside = inside.withColumn("sum_u", F.sum("size").over(Window.partitionBy(*on, "bucket").orderBy("u")) + F.col("before"))
+        fits = F.col("sum_u") <= F.col("run_gap")
+        inside = inside.groupBy(*on).agg(F.max(F.when(fits, F.col("u"))).alias("in_u"), F.max(F.when(fits, F.col("sum_u"))).alias("in_sum"), F.min(F.when(~fits, F.col("u"))).alias("next"))
+        step = every.join(edge, on, "left").join(inside, on, "left")
+        hi = F.when(F.col("next").isNull(), F.lit("g")).otherwise(F.coalesce("in_u", "bucket"))  # g is behind all hex digits
+        got = F.when(F.col("next").isNull(), F.col("every")).otherwise(F.greatest(F.coalesce("in_sum", F.lit(0)), "before"))
+        step = step.select(*on, hi.alias("hi"), got.alias("more"), "next")
+        run = F.struct("lo", "hi", F.col("run_gap").cast("double").alias("most"))
+        now = now.join(small(step), on, "left").select(
+            *on,
+            "cut_u",
+            F.coalesce("next", "lo").alias("lo"),
+            (F.col("run_gap") - F.coalesce("more", F.lit(0))).alias("run_gap"),
+            F.when(F.coalesce("more", F.lit(0)) > 0, F.array_append("found", run)).otherwise(F.col("found")).alias("found"),
+            F.col("next").isNotNull().alias("open"),
+        )
+        now = materialise(now, "mix-runs")
+    rest = keyed.join(small(now.select(*on, "cut_u", "run_gap", "found")), on).where((F.col("u") > F.col("cut_u")) & (F.col("size") > 0) & (F.col("size") < 2 * F.col("run_gap")) & ~_in_runs("found", F.col("size")))
+    same = rest.groupBy(*on, "u").agg(F.sum("size").alias("size"), F.first("run_gap").alias("run_gap"))
+    miss = F.abs(F.col("size") - F.col("run_gap"))
+    last = same.where(miss < F.col("run_gap")).groupBy(*on).agg(F.min(F.struct(miss.alias("miss"), "u", "size")).alias("best"))
+    return materialise(now.join(last, on, "left").select(
+        *on,
+        "found",
+        F.when(F.col("best").isNull(), F.array().cast("array<string>")).otherwise(F.array("best.u")).alias("last"),
+        (F.col("run_gap") - F.coalesce("best.size", F.lit(0))).alias("run_gap"),
+    ), "mix-carried")
+
+
+def _in_runs(runs: str, size: Column) -> Column:
+    inside = F.exists(runs, lambda r: (F.col("u") > r["lo"]) & (F.col("u") <= r["hi"]) & (size > 0) & (size <= r["most"]))
+    return F.when(F.size(runs) > 0, inside).otherwise(False)
+
+
+def _copies(size: Column) -> Column:
+    """Repetitions of a row with place u and this size under its source's choices; a null cut_u takes all that is left."""
     more = F.when(F.col("left") > 0, F.coalesce(F.col("u") <= F.col("cut_u"), F.lit(True))).otherwise(False)
-    return F.col("whole") + (more | F.array_contains("fills", F.col("u"))).cast("long")
+    return F.col("whole") + (more | F.array_contains("fills", F.col("u")) | _in_runs("runs", size)).cast("long")
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, max_epochs: float = 2.0, seed: int = 7) -> DataFrame:
@@ -103,7 +172,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
     sized = materialise(sizes(docs.select("doc_id", "source", "text"), seed), "mix-sizes")
     params = choices(sized, weights, share, max_epochs)
     keyed = sized.withColumns({"skey": F.coalesce("source", F.lit("")), "snull": F.col("source").isNull()}).drop("source")
-    out = keyed.join(small(params), ["skey", "snull"]).withColumn("copies", _copies(params))
+    out = keyed.join(small(params), ["skey", "snull"]).withColumn("copies", _copies(F.col("size")))
     return out.select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
@@ -112,5 +181,5 @@ def mixed_rows(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: f
     sized = materialise(sizes(docs.select("doc_id", "source", "text"), seed), "mix-sizes")
     params = choices(sized, weights, share, max_epochs).drop("source")
     rows = docs.select(F.struct("*").alias("_row"), draw(seed).alias("u"), F.coalesce("source", F.lit("")).alias("skey"), F.col("source").isNull().alias("snull"))
-    out = rows.join(small(params), ["skey", "snull"]).withColumn("_copies", _copies(params)).where("_copies > 0")
+    out = rows.join(small(params), ["skey", "snull"]).withColumn("_copies", _copies(words(F.col("_row")["text"]))).where("_copies > 0")
     return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("_row.*")

@@ -525,6 +525,21 @@ def test_mix(spark, corpus):
     assert n == {r.doc_id: r.copies for r in out if r.copies}
 
 
+def test_mix_long_document(spark):
+    """A document longer than all others at the cut, with more after it that fit than the fills take."""
+    rng = random.Random(2)
+    data = [(i, passage(rng, rng.randrange(5, 26)), "s") for i in range(300)] + [(900 + i, passage(rng, 3000), "s") for i in range(2)]
+    data += [(2000 + i, passage(rng, 9), "t") for i in range(30)]
+    df = docs(spark, data)
+    for seed in range(3):
+        out = mixing.mix(df, weights=(1,), seed=seed).collect()
+        for low, high in ((0, 2000), (2000, 3000)):
+            own = [r for r in out if low <= r.doc_id < high]
+            assert abs(sum(r.taken for r in own) - own[0].target) <= 5
+        n = {r.doc_id: r["count"] for r in mixing.mixed_rows(df, weights=(1,), seed=seed).groupBy("doc_id").count().collect()}
+        assert n == {r.doc_id: r.copies for r in out if r.copies}
+
+
 def test_mix_edges(spark):
     assert mixing.mix(docs(spark, [])).count() == 0 and mixing.mixed_rows(docs(spark, [])).count() == 0
     out = mixing.mix(docs(spark, [(1, None, "a"), (2, "", None)])).collect()
