@@ -4,6 +4,10 @@ Parts are the lines, the paragraphs (between blank lines) and the whole text.  N
 letters and digits and of bytes from 0x80, in lower case.  A template can only reach the threshold in a part whose
 number of bigrams lies within a factor (2 - t) / t of its own, and only if the two share at least t / (2 - t) of the
 template's bigrams; parts that no template passes on both counts are dropped before any set is built.
+
+Where no part reaches the threshold, windows of consecutive words are compared, over the edges of lines and paragraphs:
+those that begin at a bigram of a template and have enough of its bigrams within the largest size that can reach the
+threshold.  From each such place the size with the largest coefficient counts; of overlapping windows the best one.
 """
 
 from __future__ import annotations
@@ -81,8 +85,10 @@ class Matcher:
         sizes = [len(b) for _, b in self.known]
         self.fewest = threshold * min(sizes, default=1) / (2 - threshold)
         self.most = max(sizes, default=0) * (2 - threshold) / threshold
-        hashed = [_hashes(t) for texts in templates.values() for t in texts]
-        self.vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64), *hashed]))
+        hashed = [(name, np.unique(_hashes(t))) for name, texts in sorted(templates.items()) for t in texts]
+        self.hashed = [(name, h) for name, h in hashed if len(h)]
+        self.vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64), *(h for _, h in self.hashed)]))
+        self.has = [np.isin(self.vocabulary, h) for _, h in self.hashed]
 
     def best(self, words: list[bytes]) -> tuple[float, str] | None:
         """The largest coefficient of a template with these words and the first name that has it, if it counts."""
@@ -92,6 +98,36 @@ class Matcher:
         return min(found, key=lambda x: (-x[0], x[1])) if found else None
 
 
+    def windows(self, pair: np.ndarray, hits: np.ndarray, blocked: np.ndarray) -> list[tuple[float, str, int]]:
+        """(coefficient, name, place of the first bigram) of windows without blocked places.  hits are the places in
+        pair of the vocabulary's bigrams that are not blocked."""
+        word = np.searchsorted(self.vocabulary, pair[hits])
+        walls = np.append(np.flatnonzero(blocked), len(pair))
+        stop = walls[np.searchsorted(walls, hits)]
+        found = []
+        for (name, h), has in zip(self.hashed, self.has, strict=True):
+            at = np.flatnonzero(has[word])
+            own, n = hits[at], len(h)
+            ends = np.minimum(own + int(n * (2 - self.threshold) / self.threshold + 1e-9), stop[at])
+            enough = np.searchsorted(own, ends) - np.arange(len(own)) >= self.threshold * n / (2 - self.threshold) - 1e-9
+            for k in np.flatnonzero(enough):
+                lo, hi = own[k], ends[k]
+                first = np.zeros(hi - lo, np.int64)
+                first[np.unique(pair[lo:hi], return_index=True)[1]] = 1
+                shared = np.zeros(hi - lo, np.int64)
+                shared[own[k : np.searchsorted(own, hi)] - lo] = 1
+                score = 2 * np.cumsum(first * shared) / (np.cumsum(first) + n)
+                end = int(score.argmax())
+                if score[end] >= self.threshold:
+                    found.append((-float(score[end]), name, int(lo), int(lo) + end))
+        taken, out = [], []
+        for d, name, lo, hi in sorted(found):
+            if all(hi < a or lo > b for a, b in taken):
+                taken.append((lo, hi))
+                out.append((-d, name, lo))
+        return out
+
+
 def _hashes(text: str) -> np.ndarray:
     data = _FOLD[np.frombuffer(text.encode(), np.uint8)]
     return grams(word_hashes(data, *spans(data, np.array([0, len(data)]))), 2)
@@ -113,8 +149,8 @@ def _parts(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray,
 def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None = None, threshold: float = 0.8) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, license_id, dice, n_parts, licenses.
 
-    license_id has the largest coefficient of any part of the text (of equal ones the first name), n_parts counts the
-    lines that reach the threshold and licenses has the names found in any part, sorted.  Nothing found, null and
+    license_id has the largest coefficient of any part or window of the text (of equal ones the first name), n_parts
+    counts the lines that reach the threshold and licenses has the names found in any part or window, sorted.  Nothing found, null and
     empty texts: null, null, 0, empty.  A template or part of fewer than two words matches nothing.  The whole text
     is read, however long.  An empty table gives an empty result.
     """
@@ -132,8 +168,13 @@ def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None = None, t
                 count, names = np.zeros(j - i, np.int64), [set() for _ in range(j - i)]
                 starts, ends = spans(own, offsets)
                 pair = grams(word_hashes(own, starts, ends), 2)
-                hit = np.concatenate([[0], np.cumsum(np.isin(pair, m.vocabulary)), [0]])
+                known = np.isin(pair, m.vocabulary)
+                hit = np.concatenate([[0], np.cumsum(known), [0]])
                 hit[-1] = hit[-2]
+                first = np.searchsorted(starts, offsets)
+                blocked = np.zeros(len(pair), bool)  # bigrams over the edge of a document and those of parts found
+                edge = first[1:-1] - 1
+                blocked[edge[(edge >= 0) & (edge < len(pair))]] = True
                 for level, (lo, hi) in enumerate(_parts(own, offsets)):
                     a, b = np.searchsorted(starts, lo), np.searchsorted(starts, hi)
                     two = b - a >= 2
@@ -145,6 +186,11 @@ def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None = None, t
                             count[d] += level == 0
                             names[d].add(found[1])
                             best[d] = found if best[d] is None else min(best[d], found, key=lambda x: (-x[0], x[1]))
+                            blocked[a[k] : b[k] - 1] = True
+                for score, name, lo in m.windows(pair, np.flatnonzero(known & ~blocked), blocked):
+                    d = int(np.searchsorted(first, lo, "right")) - 1
+                    names[d].add(name)
+                    best[d] = (score, name) if best[d] is None else min(best[d], (score, name), key=lambda x: (-x[0], x[1]))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(i, j - i), pa.array([x and x[1] for x in best], pa.string()), pa.array([x and x[0] for x in best], pa.float64()), pa.array(count), pa.array([sorted(x) for x in names], pa.list_(pa.string()))],
                     names=["doc_id", "license_id", "dice", "n_parts", "licenses"],

@@ -278,6 +278,21 @@ def test_licenses(spark, corpus):
     assert [w[0] for w in want[-8:]] == ["MIT", "MIT", "Apache-2.0", "MIT", "CC-BY-NC-4.0", None, "MIT", "Apache-2.0"]
 
 
+def test_license_windows(spark):
+    """Licences of several paragraphs in other text and notices inside running text."""
+    clauses = licenses.TEMPLATES["BSD-2-Clause"][0].replace(" 1. ", "\n\n1. ").replace(" 2. ", "\n\n2. ")
+    texts = {
+        f"Copyright (c) somebody\n\n{clauses}\n\n" + " ".join(f"w{i}" for i in range(400)): ["BSD-2-Clause"],
+        "The text above is licensed under the Apache License, Version 2.0, by its authors.": ["Apache-2.0"],
+        "All of this was, as we said, released under the\nMIT License. and the rest, as its author says, is licensed under CC BY-NC 4.0. so far": ["CC-BY-NC-4.0", "MIT"],
+        "a licence is licensed under the terms that the authors of the work gave it in version 2 of the general public text": [],
+        "this was long ago released under": [],
+        "the MIT License. was not given here": [],
+    }
+    got = [r.licenses for r in sorted(licenses.scan(docs(spark, [(i, t, "s") for i, t in enumerate(texts)]).coalesce(1)).collect())]
+    assert got == list(texts.values())
+
+
 def test_op4(spark):
     data = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     got = {r.doc_id: tuple(r)[1:] for r in queries.op4_license_scan(spark, SF).collect()}
