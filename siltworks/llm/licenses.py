@@ -22,8 +22,56 @@ from .textops import buffers, grams, spans, word_hashes
 
 CHUNK_BYTES = 1 << 21
 
+_BSD = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, '
+    "THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+    "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+    "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+    "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+    "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_BSD_2 = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+    "documentation and/or other materials provided with the distribution."
+)
+_BSD_3 = (
+    _BSD_2 + " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+    "this software without specific prior written permission."
+)
+_MIT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+    '(the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, '
+    "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
+    "following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF '
+    "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY "
+    "CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE "
+    "OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+_NO_WARRANTY = (
+    ' THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF '
+    "MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES "
+    "WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN "
+    "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+)
+_0BSD = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."
+_ISC = _0BSD[:-1] + ", provided that the above copyright notice and this permission notice appear in all copies."
+
+
+def _gnu(kind: str, version: str, program: str = "This program") -> tuple[str, str]:
+    return (
+        f"This work is licensed under the GNU {kind} General Public License, version {version}.",
+        f"{program} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} General Public License as published by "
+        f"the Free Software Foundation, either version {version} of the License, or (at your option) any later version.",
+    )
+
+
 #: Notices and short licence texts, by SPDX name (public texts, without names and years).
 TEMPLATES: dict[str, tuple[str, ...]] = {
+    "0BSD": (_0BSD, _0BSD + _NO_WARRANTY),
+    "AGPL-3.0": _gnu("Affero", "3"),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
@@ -34,11 +82,29 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
         "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
         "documentation and/or other materials provided with the distribution.",
+        _BSD_2 + " " + _BSD,
+        "Licensed under the BSD 2-Clause License.",
+    ),
+    "BSD-3-Clause": (_BSD_3, _BSD_3 + " " + _BSD, "Licensed under the BSD 3-Clause License."),
+    "BSL-1.0": (
+        "Distributed under the Boost Software License, Version 1.0.",
+        "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at http://www.boost.org/LICENSE_1_0.txt)",
     ),
     "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2.",),
+    "CC0-1.0": (
+        "This work is dedicated to the public domain under CC0 1.0.",
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain "
+        "worldwide. This software is distributed without any warranty.",
+    ),
+    "EPL-2.0": (
+        "Licensed under the Eclipse Public License 2.0.",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at "
+        "https://www.eclipse.org/legal/epl-2.0/",
+    ),
+    "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2.", _gnu("", "2")[1]),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
@@ -47,16 +113,30 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "ISC": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the "
         "above copyright notice and this permission notice appear in all copies.",
+        _ISC + _NO_WARRANTY,
+        "Licensed under the ISC License.",
     ),
+    "LGPL-2.1": _gnu("Lesser", "2.1", "This library"),
+    "LGPL-3.0": (*_gnu("Lesser", "3"), _gnu("Lesser", "3", "This library")[1]),
     "MIT": (
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
         '(the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, '
         "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
         "following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        _MIT,
+        "Licensed under the MIT License.",
     ),
-    "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
+    "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
     "Unlicense": ("This is free and unencumbered software released into the public domain.",),
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from "
+        "the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and "
+        "redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you "
+        "wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not "
+        "required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may "
+        "not be removed or altered from any source distribution.",
+    ),
 }
 
 _FOLD = np.full(256, 32, np.uint8)

@@ -293,6 +293,27 @@ def test_license_windows(spark):
     assert got == list(texts.values())
 
 
+def test_license_templates(spark):
+    """The closest licence wins: those of one family are told apart, in whole files and in notices."""
+    gnu = "{} is free software: you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+    bsd = licenses._BSD_2.replace(" 1. ", "\n\n1. ").replace(" 2. ", "\n\n2. ")
+    third = licenses._BSD_3[len(licenses._BSD_2) :]
+    texts = {
+        gnu.format("This program", "", "3"): "GPL-3.0",
+        gnu.format("This program", "", "2"): "GPL-2.0",
+        gnu.format("This program", "Affero ", "3"): "AGPL-3.0",
+        gnu.format("This program", "Lesser ", "3"): "LGPL-3.0",
+        gnu.format("This library", "Lesser ", "2.1"): "LGPL-2.1",
+        f"Copyright (c) 2001 somebody\n\n{bsd}\n\n{licenses._BSD}\n": "BSD-2-Clause",
+        f"Copyright (c) 2001 somebody\n\n{bsd}\n\n{third}\n\n{licenses._BSD}\n": "BSD-3-Clause",
+        f"MIT License\n\nCopyright (c) 2001 somebody\n\n{licenses._MIT}\n": "MIT",
+        f"Copyright (c) 2001 somebody\n\n{licenses._ISC}\n\n{licenses._NO_WARRANTY}\n": "ISC",
+        f"Copyright (c) 2001 somebody\n\n{licenses._0BSD}\n\n{licenses._NO_WARRANTY}\n": "0BSD",
+    }
+    got = [r.license_id for r in sorted(licenses.scan(docs(spark, [(i, t, "s") for i, t in enumerate(texts)]).coalesce(1)).collect())]
+    assert got == list(texts.values())
+
+
 def test_op4(spark):
     data = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     got = {r.doc_id: tuple(r)[1:] for r in queries.op4_license_scan(spark, SF).collect()}
