@@ -52,13 +52,18 @@ def describe_type(name: Column, definition: Column, extends: Column, props: Colu
 
 def types(code: Column) -> Column:
     """array<struct<name, definition, description>> of types and interfaces with a body."""
-    parts = F.arrays_zip(*[_all(code, fixed.TYPE, g) for g in range(4)])
+    pattern = engine(fixed.TYPE)
+    shaped = F.transform(
+        _all(code, fixed.TYPE),
+        # the groups are taken from the match, which is short, and not from the text again
+        lambda m: F.struct(trim(m).alias("definition"), *[F.regexp_extract(m, pattern, g).alias(n) for g, n in ((1, "name"), (2, "extends"), (3, "body"))]),
+    )
 
     def one(m: Column) -> Column:
-        definition = trim(m["0"])
-        return F.struct(m["1"].alias("name"), definition.alias("definition"), describe_type(m["1"], definition, trim(m["2"]), properties(m["3"])).alias("description"))
+        told = describe_type(m["name"], m["definition"], trim(m["extends"]), properties(m["body"]))
+        return F.struct(m["name"].alias("name"), m["definition"].alias("definition"), told.alias("description"))
 
-    return F.transform(parts, one)
+    return F.transform(shaped, one)
 
 
 def error_contexts(code: Column) -> Column:

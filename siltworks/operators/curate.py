@@ -28,7 +28,7 @@ def file_predicates(excluded_paths: list[str], excluded_extensions: list[str], l
 def secrets(files: DataFrame, action: str = "drop") -> DataFrame:
     """Without files that hold a secret, or with their lines redacted (and the size taken anew)."""
     if action == "drop":
-        return files.where(~content.has_secret(F.col("text")))
+        return files.where(~F.coalesce(content.has_secret(F.col("text")), F.lit(False)))
     return files.withColumn("text", content.redact_secrets(F.col("text"))).withColumn("size_bytes", F.octet_length("text").cast("long"))
 
 
@@ -39,12 +39,15 @@ def hashed(files: DataFrame) -> DataFrame:
 def mark_duplicates(files: DataFrame) -> DataFrame:
     """files (with sha256) and is_duplicate: not the first of its hash.
 
-    Only hash and order are shuffled; the hash's first place is aggregated before the shuffle, so a content that is
-    everywhere is no hot key.
+    A hash's first place is aggregated before the shuffle and files are joined by hash and place, so a content that
+    is everywhere is no hot key.  A null repo_ord is before all others; files without text are of one (null) hash.  Of
+    files that share hash and place one is the first.  Structs are keys because they compare nulls as equal.
     """
     place = F.struct("repo_ord", "rel_path", "full_name")
-    firsts = files.groupBy("sha256").agg(F.min(place).alias("_first")).select(F.col("_first.repo_ord").alias("repo_ord"), F.col("_first.rel_path").alias("rel_path"), F.col("_first.full_name").alias("full_name"), F.lit(False).alias("_dup"))
-    return files.join(firsts, ["full_name", "repo_ord", "rel_path"], "left").withColumn("is_duplicate", F.coalesce("_dup", F.lit(True))).drop("_dup")
+    firsts = files.groupBy("sha256").agg(F.min(place).alias("_first")).select(F.struct("sha256", "_first.*").alias("_at"), F.lit(True).alias("_is_first"))
+    marked = files.withColumn("_at", F.struct("sha256", "repo_ord", "rel_path", "full_name")).join(firsts, "_at", "left")
+    again = F.row_number().over(Window.partitionBy("_at").orderBy("size_bytes")) > 1
+    return marked.withColumn("is_duplicate", F.col("_is_first").isNull() | again).drop("_at", "_is_first")
 
 
 def dedup(files: DataFrame) -> DataFrame:

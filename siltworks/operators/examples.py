@@ -76,9 +76,13 @@ def code_examples(files: DataFrame, mode: str = "all", max_bytes: int = 50 * 102
     own = code_gate(files, max_bytes).where("eligible")
     parts = {"explain": [explain(code)], "debug": [debug(code, path)], "all": [explain(code), debug(code, path)]}[mode]
     if mode == "all":
-        first = own.groupBy("full_name").agg(F.min_by("rel_path", F.struct("repo_ord", "rel_path")).alias("rel_path")).withColumn("_first", F.lit(True))
-        own = own.join(first, ["full_name", "rel_path"], "left")
-        parts.append(_if(F.coalesce("_first", F.lit(False)), file_context(code, path)))
+        place = lambda c: F.struct("full_name", c("repo_ord"), c("rel_path"))
+        first = own.groupBy("full_name").agg(F.min(F.struct("repo_ord", "rel_path")).alias("_least"))
+        first = first.select(place(lambda c: F.col("_least")[c].alias(c)).alias("_at"), F.lit(True).alias("_is_first"))
+        own = own.withColumn("_at", place(F.col)).join(first, "_at", "left")
+        again = F.row_number().over(Window.partitionBy("_at").orderBy("text"))  # of two files at one place the first
+        own = own.withColumn("_first", F.col("_is_first").isNotNull() & (again == 1))
+        parts.append(_if(F.col("_first"), file_context(code, path)))
     rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("ex.type"))
     return own.select("full_name", "repo_ord", "rel_path", F.posexplode(F.concat(*parts)).alias("match_pos", "ex")).select(
         F.lit(0).alias("phase"), "full_name", "repo_ord", "rel_path", rank.cast("int").alias("gen_rank"), "match_pos", "ex.type", "ex.input", "ex.output"
@@ -102,17 +106,20 @@ def numbered(examples: DataFrame) -> DataFrame:
     """examples with ``seq``, from 1 in canonical order, in three levels.
 
     Repositories are summed up in one task (a row each), files within their repository (a row each, without texts), and
-    only the examples of one file are put in order as they are.
+    only the examples of one file are put in order as they are.  Null places come first; equal places (two files at
+    one place) are in the order of their texts.  Structs are keys because they compare nulls as equal.
     """
-    repo, file = PLACE[:2], PLACE[:4]
-    by_file = examples.groupBy(*file).agg(F.count(F.lit(1)).alias("_n"))
-    by_repo = by_file.groupBy(*repo).agg(F.sum("_n").alias("_all"))
+    file = F.struct(*PLACE[:4])
+    by_file = examples.groupBy(file.alias("_file")).agg(F.count(F.lit(1)).alias("_n"))
+    by_file = by_file.withColumn("_repo", F.struct(*[F.col("_file")[c].alias(c) for c in PLACE[:2]]))
+    by_repo = by_file.groupBy("_repo").agg(F.sum("_n").alias("_all"))
     upto = lambda n, w: F.coalesce(F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = by_repo.select(*repo, upto("_all", Window.orderBy(*repo)).alias("_before"))
-    starts = by_file.withColumn("_inner", upto("_n", Window.partitionBy(*repo).orderBy("rel_path", "full_name"))).join(starts, repo)
-    own = F.row_number().over(Window.partitionBy(*file).orderBy("gen_rank", "match_pos"))
-    out = examples.withColumn("_own", own).join(starts.select(*file, (F.col("_inner") + F.col("_before")).alias("_start")), file)
-    return out.withColumn("seq", F.col("_own") + F.col("_start")).drop("_own", "_start")
+    starts = by_repo.select("_repo", upto("_all", Window.orderBy("_repo")).alias("_before"))
+    starts = by_file.withColumn("_inner", upto("_n", Window.partitionBy("_repo").orderBy("_file"))).join(starts, "_repo")
+    starts = starts.select("_file", (F.col("_inner") + F.col("_before")).alias("_start"))
+    own = F.row_number().over(Window.partitionBy("_file").orderBy("gen_rank", "match_pos", "type", "input", "output"))
+    out = examples.withColumn("_file", file).join(starts, "_file").withColumn("_own", own)
+    return out.withColumn("seq", F.col("_own") + F.col("_start")).drop("_own", "_start", "_file")
 
 
 def with_ids(examples: DataFrame) -> DataFrame:

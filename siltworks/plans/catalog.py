@@ -63,10 +63,10 @@ def in_dirs(values: list[str]) -> str:
 
 @query(f"""WITH {A.API_SQL}, s AS (
     SELECT 0 AS r, * FROM api WHERE src_pos % 3 = 0 UNION ALL SELECT 1, * FROM api WHERE src_pos % 2 = 0
-    UNION ALL SELECT 2, * REPLACE (stars + 1 AS stars, CASE WHEN src_pos % 10 = 0 THEN upper(full_name) ELSE full_name END AS full_name) FROM api WHERE src_pos % 5 = 0)
+    UNION ALL SELECT 2, * REPLACE (stars + 1 AS stars, CASE WHEN src_pos % 10 = 0 THEN upper(full_name) ELSE full_name END AS full_name) FROM api)
     SELECT full_name, owner, repo, stars, language, license, r::INT AS src_rank, src_pos FROM s QUALIFY row_number() OVER (PARTITION BY full_name ORDER BY r, src_pos) = 1""")
 def merge_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a, b, c = (A.repos(spark, sf_dir, r).where(f"src_pos % {m} = 0") for r, m in ((0, 3), (1, 2), (2, 5)))
+    a, b, c = (A.repos(spark, sf_dir, r).where(f"src_pos % {m} = 0") for r, m in ((0, 3), (1, 2), (2, 1)))
     c = c.withColumns({"stars": F.col("stars") + 1, "full_name": F.when(F.col("src_pos") % 10 == 0, F.upper("full_name")).otherwise(F.col("full_name"))})
     return discover.merge_candidates(a, b, c).select(*API_COLUMNS, "src_rank", "src_pos")
 

@@ -50,9 +50,29 @@ def type_defs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.code(spark, sf_dir).select("doc_id", F.inline(extract.types(F.col("text"))))
 
 
-@query()
+def _marked_sql(x: str) -> str:
+    """SQL: each line break after chr(2), or after chr(3) where a context ends (before a blank line, a comment, the end).
+
+    The pattern looks ahead to such an end, which DuckDB's engine cannot; with the mark an end can be consumed instead.
+    Two passes, because each consumes the break after the one that it marks.
+    """
+    end = q("\x02\n([\x02\x03]|//|\\z)")
+    once = lambda y: f"regexp_replace({y}, {end}, chr(3) || chr(10) || '\\1', 'g')"
+    return once(once(f"replace({x}, chr(10), chr(2) || chr(10))"))
+
+
+_WS = engine(r"[\s\x02\x03]")
+_DIRECTIVE = rf"//{_WS}*@ts-(?:expect-error|ignore)(?:{_WS}+([^\n\r\x{{2028}}\x{{2029}}\x02\x03]+?))?[\x02\x03]\n((?s:.)*?)\x03"
+_UNMARKED = "replace(replace({}, chr(2), ''), chr(3), '')"
+_CONTEXTS = f"""marked AS (SELECT *, {_marked_sql('text')} AS marked_text FROM FROM_TABLE),
+    raw_errors AS (SELECT *, unnest(regexp_extract_all(marked_text, {q(_DIRECTIVE)}, 1)) AS said, unnest(regexp_extract_all(marked_text, {q(_DIRECTIVE)}, 2)) AS rest,
+        generate_subscripts(regexp_extract_all(marked_text, {q(_DIRECTIVE)}, 1), 1) AS pos FROM marked),
+    told_errors AS (SELECT *, CASE WHEN said = '' THEN {q(fixed.DEFAULT_ERROR)} ELSE {t('said')} END AS message, {t(_UNMARKED.format('rest'))} AS context FROM raw_errors),
+    errors AS (SELECT * FROM told_errors WHERE length(context) BETWEEN 21 AND 1999)"""
+
+
+@query(f"WITH {A.CODE_SQL}, {_CONTEXTS.replace('FROM_TABLE', 'code')} SELECT doc_id, message, context FROM errors")
 def error_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """No SQL: the pattern looks ahead, which DuckDB's engine cannot."""
     return A.code(spark, sf_dir).select("doc_id", F.inline(extract.error_contexts(F.col("text"))))
 
 
@@ -209,21 +229,26 @@ def examples_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return examples.by_type(_union(spark, sf_dir))
 
 
-_DEBUG = f"""tests AS (SELECT full_name, rel_path, unnest(({_BLOCKS})[:5]) AS block FROM eligible WHERE {_CODE_TEST} AND (contains(text, 'describe') OR contains(text, 'it(') OR contains(text, 'test('))),
-    handled AS (SELECT full_name, rel_path, unnest(({_PATTERNS})[:3]) AS pattern FROM eligible WHERE contains(text, 'catch') OR contains(text, 'throw'))"""
+_DEBUG = f"""{_CONTEXTS.replace('FROM_TABLE', 'eligible')}, tests AS (SELECT full_name, repo_ord, rel_path, unnest(({_BLOCKS})[:5]) AS block, generate_subscripts(({_BLOCKS})[:5], 1) AS pos FROM eligible WHERE {_CODE_TEST} AND (contains(text, 'describe') OR contains(text, 'it(') OR contains(text, 'test('))),
+    handled AS (SELECT full_name, repo_ord, rel_path, unnest(({_PATTERNS})[:3]) AS pattern, generate_subscripts(({_PATTERNS})[:3], 1) AS pos FROM eligible WHERE contains(text, 'catch') OR contains(text, 'throw'))"""
+
+
+_DEBUGGED = f"""SELECT full_name, repo_ord, rel_path, 3 AS gen_rank, pos, 'error_context' AS type, context AS input, {_error_sql()} AS output FROM errors
+    UNION ALL SELECT full_name, repo_ord, rel_path, 4, pos, 'test_assertion', block, {q(fixed.TEST_TEXT[0])} || {_TITLE} || {q(fixed.TEST_TEXT[1])} FROM tests
+    UNION ALL SELECT full_name, repo_ord, rel_path, 5, pos, 'error_handling', pattern, {_handling_sql('pattern')} FROM handled"""
 
 
-@query(f"""WITH {A.CODE_SQL}, {_ELIGIBLE}, {_DEBUG} SELECT full_name, rel_path, 'test_assertion' AS type, block AS input, {q(fixed.TEST_TEXT[0])} || {_TITLE} || {q(fixed.TEST_TEXT[1])} AS output FROM tests
-    UNION ALL SELECT full_name, rel_path, 'error_handling', pattern, {_handling_sql('pattern')} FROM handled""")
+@query(f"WITH {A.CODE_SQL}, {_ELIGIBLE}, {_DEBUG}, made AS ({_DEBUGGED}) SELECT full_name, rel_path, type, input, output FROM made")
 def debug_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Without those of type errors, which have no SQL (see error_contexts)."""
-    out = examples.code_examples(A.code(spark, sf_dir), "debug").where("type <> 'error_context'")
-    return out.select("full_name", "rel_path", "type", "input", "output")
+    return examples.code_examples(A.code(spark, sf_dir), "debug").select("full_name", "rel_path", "type", "input", "output")
 
 
-@query()
+@query(f"""WITH {A.CODE_SQL}, {_EXPLAIN}, {_DEBUG},
+    every AS (SELECT full_name, repo_ord, rel_path, gen_rank, pos, type, input, output FROM explained UNION ALL {_DEBUGGED}
+        UNION ALL SELECT full_name, repo_ord, rel_path, 6, 0, 'file_context', {_CUT}, {_file_sql()} FROM (SELECT * FROM eligible QUALIFY row_number() OVER (PARTITION BY full_name ORDER BY repo_ord, rel_path) = 1)),
+    numbered AS (SELECT *, row_number() OVER (ORDER BY repo_ord, rel_path, full_name, gen_rank, pos) AS seq FROM every)
+    SELECT printf('%s-%05d', {_map_sql(fixed.ID_PREFIXES)}, seq) AS id, type, full_name AS repo, rel_path AS file, {_map_sql(fixed.INSTRUCTIONS)} AS instruction, input, output FROM numbered""")
 def all_code_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mode all, with ids; has type errors, so no SQL."""
     return examples.with_ids(examples.code_examples(A.code(spark, sf_dir), "all")).drop("seq")
 
 

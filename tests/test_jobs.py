@@ -13,7 +13,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from siltworks.operators import curate, discover, exporting
+from siltworks.operators import curate, discover, examples, exporting
 from siltworks.plans import config, jobs
 from siltworks.sources import api, files, sinks
 from siltworks.streaming import incremental
@@ -241,6 +241,22 @@ def test_dedup_and_budget(spark, given_, most):
     assert sorted((r.repo_ord, r.rel_path) for r in curate.budget(once, most).collect()) == kept
 
 
+def test_places_that_are_null_or_shared(spark):
+    """Null repo_ord, two files at one place, rows equal in full: nothing is lost or multiplied."""
+    data = [("o/n", None, "a", "x", 1), ("o/n", None, "b", "x", 1), ("o/r", 1, "a", "y", 1), ("o/r", 1, "a", "z", 1), ("o/r", 1, "a", "z", 1), ("o/q", 2, "c", None, 0), ("o/q", 2, "d", None, 0)]
+    marked = curate.mark_duplicates(curate.hashed(spark.createDataFrame(data, FILE))).collect()
+    assert sorted((r.full_name, r.rel_path, str(r.text), r.is_duplicate) for r in marked) == sorted([
+        ("o/n", "a", "x", False), ("o/n", "b", "x", True), ("o/r", "a", "y", False), ("o/r", "a", "z", False), ("o/r", "a", "z", True), ("o/q", "c", "None", False), ("o/q", "d", "None", True),
+    ])
+    assert curate.secrets(spark.createDataFrame(data, FILE)).count() == 7
+    place = "phase int, full_name string, repo_ord long, rel_path string, gen_rank int, match_pos int, type string, input string, output string"
+    rows = [(0, "o/n", None, "a", 1, 0, "t", "1", "o"), (0, "o/r", 1, "a", 1, 0, "t", "2", "o"), (0, "o/r", 1, "a", 1, 0, "t", "3", "o"), (0, "o/r", 1, "a", 1, 0, "t", "3", "o"), (1, "o/n", None, None, 0, 0, "t", "4", "o")]
+    seq = sorted((r.seq, r.input) for r in examples.numbered(spark.createDataFrame(rows, place)).collect())
+    assert seq == [(1, "1"), (2, "2"), (3, "3"), (4, "3"), (5, "4")]
+    code = spark.createDataFrame([("o/r", None, "a.ts", f"const a = {i}; // thirty characters and more", 50) for i in (1, 2)], FILE)
+    assert [r.type for r in examples.code_examples(code).collect()] == ["file_context"]
+
+
 def test_export_stream(spark, tmp_path):
     lines = [json.dumps({"id": "1", "instruction": "do", "output": "done", "input": "x"}), json.dumps({"id": "2", "instruction": "do", "output": " "})]
     (tmp_path / "in").mkdir()
