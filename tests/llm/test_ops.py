@@ -324,7 +324,7 @@ def test_op4(spark):
 
 
 def test_exact(spark, corpus):
-    assert collected(exact_dedup.exact_dedup(docs(spark, corpus, clash=True), runs=8, fan_in=2)) == brute.exact(pairs(corpus))
+    assert collected(exact_dedup.exact_dedup(docs(spark, corpus, clash=True).repartition(7), fan_in=2)) == brute.exact(pairs(corpus))
     assert collected(exact_dedup.exact_dedup(docs(spark, corpus))) == brute.exact(pairs(corpus))
     kept = exact_dedup.drop_copies(docs(spark, corpus, clash=True))
     assert sorted(r.doc_id for r in kept.collect()) == [d for d, _, _, k, _ in brute.exact(pairs(corpus)) if k]
@@ -336,6 +336,10 @@ def test_exact_edges(spark):
     df = docs(spark, [(None, "a", "s"), (2, "a", "s"), (2, "a", "s"), (None, "b", "s"), (3, None, "s"), (4, "", "s")])
     assert sorted(map(str, (tuple(r)[:4] for r in exact_dedup.exact_dedup(df).collect()))) == sorted(map(str, [(None, 2, 3, False), (2, 2, 3, True), (2, 2, 3, True), (None, None, 1, True), (3, 3, 2, True), (4, 3, 2, False)]))
     assert sorted(str(r.doc_id) for r in exact_dedup.drop_copies(df).collect()) == ["2", "3", "None"]
+    hot = docs(spark, [(None, "b", f"s{i % 3}") for i in range(90)] + [(7, "c", "s")] * 30).repartition(6)
+    kept = {tuple(r) for _ in range(2) for r in exact_dedup.drop_copies(hot).collect()}
+    assert len(kept) == 2 and {r[0] for r in kept} == {None, 7}
+    assert exact_dedup.drop_copies(docs(spark, [])).count() == 0
 
 
 # ---- 6 ----

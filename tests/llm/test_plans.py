@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F
+
 from siltworks.llm import common, exact_dedup, jaccard, mixing, packing
 
 from ..conftest import SF
@@ -23,6 +25,15 @@ def test_native_operators_run_no_python(spark):
         assert not any(x in plan(df) for x in PYTHON)
 
 
+def test_digest_runs_are_sorted_and_merged(spark):
+    """Runs are sorted, folded, exchanged, sorted again and folded; digests are read once on the way up."""
+    d = common.materialise(exact_dedup.digests(spark.read.parquet(f"{SF}/documents.parquet").repartition(5)), "digests")
+    up = plan(exact_dedup.fold(d, "run0", F.struct("doc_id"), F.count(F.lit(1))))
+    steps = [x for line in up.splitlines() for x in ("SortAggregate", "Exchange", "Sort ", "FileScan") if x in line]
+    assert steps == ["SortAggregate", "Sort ", "Exchange", "SortAggregate", "Sort ", "FileScan"] and "HashAggregate" not in up
+    assert plan(exact_dedup.merge_runs(d, 2)).count("FileScan") == 5  # the four levels of 5 runs on the way down, and the rows
+
+
 def test_packing_and_mixing_do_not_shuffle_texts(spark):
     d = spark.read.parquet(f"{SF}/documents.parquet")
     assert "Exchange hashpartitioning" not in plan(packing.pack_documents(d, "unused"))
