@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import WORD, materialise, small
 
@@ -17,7 +18,7 @@ RUNS = "array<struct<lo:string,hi:string,most:double>>"
 
 
 def draw(seed: int) -> Column:
-    """The seeded order of documents: equal rows have equal places."""
+    """The seeded order of documents; see apart for rows that are equal."""
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), F.md5(F.coalesce("text", F.lit("")))))
 
 
@@ -26,32 +27,74 @@ def words(text: Column) -> Column:
 
 
 def sizes(docs: DataFrame, seed: int) -> DataFrame:
-    return docs.select("doc_id", "source", words(F.col("text")).alias("size"), draw(seed).alias("u"))
+    return docs.select("doc_id", "source", words(F.col("text")).alias("size"), draw(seed).alias("u"), F.spark_partition_id().alias("part"))
+
+
+def _keyed(df: DataFrame) -> DataFrame:
+    return df.withColumns({"skey": F.coalesce("source", F.lit("")), "snull": F.col("source").isNull()})
+
+
+def repeats(sized: DataFrame) -> DataFrame:
+    """(skey, snull, u) of places that several rows share: rows of equal id, text and source."""
+    return materialise(_keyed(sized).groupBy("skey", "snull", "u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "mix-repeats")
+
+
+def apart(rows: DataFrame, order: Column) -> DataFrame:
+    """rows (skey, snull, u, part), written before, with a place of their own for each of those that share one.
+
+    The k-th row has the hash of the place and k as its place, the first the place itself.  Rows are counted in their
+    parts first, so that a place that is a third of all rows is in no one task.
+    """
+    on = ["skey", "snull", "u"]
+    count = rows.groupBy(*on, "part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*on).orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    count = count.select(*on, "part", F.coalesce(before, F.lit(0)).alias("_before"))
+    own = rows.withColumn("_own", F.row_number().over(Window.partitionBy(*on, "part").orderBy(order)))
+    k = F.col("_own") + F.col("_before")
+    place = F.when(k == 1, F.col("u")).otherwise(F.md5(F.concat("u", F.lit(":"), k.cast("string"))))
+    return own.join(count, [*on, "part"]).withColumn("u", place).drop("_own", "_before")
+
+
+def places(docs: DataFrame, seed: int) -> tuple[DataFrame, DataFrame | None]:
+    """The written sizes of docs, each row with a place of its own, and the places that were shared, if any were."""
+    sized = materialise(sizes(docs.select("doc_id", "source", "text"), seed), "mix-sizes")
+    shared = repeats(sized)
+    if shared.isEmpty():
+        return sized, None
+    on = ["skey", "snull", "u"]
+    mine = small(shared)
+    told = apart(materialise(_keyed(sized).join(mine, on, "left_semi"), "mix-shared"), F.lit(0))
+    alone = _keyed(sized).join(mine, on, "left_anti")
+    return materialise(alone.unionByName(told).select(*sized.columns), "mix-sizes"), shared
 
 
 def targets(sized: DataFrame, weights: tuple[float, ...], share: float, max_epochs: float) -> DataFrame:
-    """One row per source: skey, source, source_size, mean_size, target.
+    """One row per source: skey, snull, source, source_size, mean_size, target.
 
-    Sources in code point order, null last, take the weights in turn.  Together they share ``share`` times all sizes.
-    A source whose part is above max_epochs times its size is clamped there and its excess reshared by weight among
-    the others, until none is above.  Where that ends is found in one pass: with the sources ordered by cap / weight,
-    the clamped ones are a prefix, and the level of the others is what is left over their weight.
+    Sources in code point order, null last, take the weights in turn; they are ranked within ranges.  Together they
+    share ``share`` times all sizes.  In each round the sources whose part is above max_epochs times their size are
+    clamped there and the excess is reshared by weight among the others, until none is above.  Sums are of whole
+    numbers, so they do not depend on the order of rows; each round halves the distance to the level or the weight
+    that is left, so rounds follow the logarithm of the sizes.
     """
     by_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.avg("size").alias("mean_size"))
-    rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
+    by_source = by_source.repartitionByRange(F.col("source").asc_nulls_last()).withColumn("part", F.spark_partition_id())
+    by_source = materialise(by_source, "mix-sources")
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = by_source.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select("part", before.alias("before"))  # a row a range
+    rank = F.row_number().over(Window.partitionBy("part").orderBy(F.col("source").asc_nulls_last())) + F.col("before")
     turn = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod(rank - 1, F.lit(len(weights))) + 1).cast("int"))
-    s = by_source.withColumn("weight", turn).withColumn("cap", F.col("source_size") * F.lit(float(max_epochs)))
-    every, order = Window.partitionBy(), Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
-    below = order.rowsBetween(Window.unboundedPreceding, -1)
-    s = s.withColumns({
-        "budget": F.sum("source_size").over(every) * F.lit(float(share)),
-        "clamped": F.coalesce(F.sum("cap").over(below), F.lit(0.0)),
-        "rest": F.sum("weight").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing)),
-    })
-    s = s.withColumn("level", (F.col("budget") - F.col("clamped")) / F.col("rest"))
-    free = F.col("level") * F.col("weight") <= F.col("cap")
-    level = F.min(F.when(free, F.struct("clamped", "level"))).over(every)["level"]
-    target = F.when(level.isNull(), F.col("cap")).otherwise(F.least(F.col("cap"), level * F.col("weight")))
+    s = materialise(by_source.join(before, "part").withColumn("weight", turn).drop("part", "before"), "mix-weights")
+    cap = F.col("source_size") * F.lit(float(max_epochs))
+    budget = float(s.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]) * share
+    level, clamped = None, -1
+    while True:
+        free = F.lit(True) if level is None else F.lit(level) * F.col("weight") <= cap
+        r = s.agg(F.sum(F.when(free, F.col("weight"))).alias("weight"), F.coalesce(F.sum(F.when(~free, F.col("source_size"))), F.lit(0)).alias("size"), F.count_if(~free).alias("n")).first()
+        if r["n"] == clamped or not r["weight"]:  # none is above any more, or all are
+            break
+        level, clamped = (budget - r["size"] * float(max_epochs)) / r["weight"], r["n"]
+    target = F.least(cap, F.lit(level) * F.col("weight")) if r["weight"] else cap
     return s.select(F.coalesce("source", F.lit("")).alias("skey"), F.col("source").isNull().alias("snull"), "source", "source_size", "mean_size", target.alias("target"))
 
 
@@ -67,7 +110,7 @@ def choices(sized: DataFrame, weights: tuple[float, ...], share: float, max_epoc
     t = targets(sized, weights, share, max_epochs)
     t = t.withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
     t = materialise(t.withColumn("left", F.col("target") - F.col("whole") * F.col("source_size")), "mix-targets")
-    keyed = sized.withColumns({"skey": F.coalesce("source", F.lit("")), "snull": F.col("source").isNull(), "bucket": F.substring("u", 1, BUCKET_DIGITS)})
+    keyed = _keyed(sized).withColumn("bucket", F.substring("u", 1, BUCKET_DIGITS))
     hist = keyed.groupBy("skey", "snull", "bucket").agg(F.sum("size").alias("n"))
     upto = F.sum("n").over(Window.partitionBy("skey", "snull").orderBy("bucket"))
     on = ["skey", "snull"]
@@ -140,9 +183,8 @@ def carried(keyed: DataFrame, stray: DataFrame) -> DataFrame:
         )
         now = materialise(now, "mix-runs")
     rest = keyed.join(small(now.select(*on, "cut_u", "run_gap", "found")), on).where((F.col("u") > F.col("cut_u")) & (F.col("size") > 0) & (F.col("size") < 2 * F.col("run_gap")) & ~_in_runs("found", F.col("size")))
-    same = rest.groupBy(*on, "u").agg(F.sum("size").alias("size"), F.first("run_gap").alias("run_gap"))
     miss = F.abs(F.col("size") - F.col("run_gap"))
-    last = same.where(miss < F.col("run_gap")).groupBy(*on).agg(F.min(F.struct(miss.alias("miss"), "u", "size")).alias("best"))
+    last = rest.where(miss < F.col("run_gap")).groupBy(*on).agg(F.min(F.struct(miss.alias("miss"), "u", "size")).alias("best"))
     return materialise(now.join(last, on, "left").select(
         *on,
         "found",
@@ -165,21 +207,28 @@ def _copies(size: Column) -> Column:
 def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, max_epochs: float = 2.0, seed: int = 7) -> DataFrame:
     """One row per row of docs (doc_id, text, source): doc_id, size, source_size, target, taken, copies.
 
-    taken is size times copies, in words.  No document is cut: a source misses its target by what no single document
-    fills.  Null sources are one source, the last; null texts have size 0; a source without words has target 0; rows
-    repeated with id and text share a verdict.  An empty table gives an empty result.
+    taken is size times copies, in words; whole texts are counted, however long.  No document is cut: a source misses
+    its target by what no single document fills.  Null sources are one source, the last; null texts have size 0; a
+    source without words has target 0; rows that repeat id, text and source are taken one by one (which of them is
+    open, as they are equal).  An empty table gives an empty result; other columns are not read.
     """
-    sized = materialise(sizes(docs.select("doc_id", "source", "text"), seed), "mix-sizes")
+    sized, _ = places(docs, seed)
     params = choices(sized, weights, share, max_epochs)
-    keyed = sized.withColumns({"skey": F.coalesce("source", F.lit("")), "snull": F.col("source").isNull()}).drop("source")
-    out = keyed.join(small(params), ["skey", "snull"]).withColumn("copies", _copies(F.col("size")))
+    out = _keyed(sized).drop("source").join(small(params), ["skey", "snull"]).withColumn("copies", _copies(F.col("size")))
     return out.select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
 def mixed_rows(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, max_epochs: float = 2.0, seed: int = 7) -> DataFrame:
-    """The rows of docs, each as often as mix() takes it, columns as they were.  Texts are not shuffled."""
-    sized = materialise(sizes(docs.select("doc_id", "source", "text"), seed), "mix-sizes")
+    """The rows of docs, each as often as mix() takes it, columns as they were.  Texts are not shuffled, but for those
+    of rows that repeat id, text and source, which are in the order of a hash of their other columns."""
+    sized, shared = places(docs, seed)
     params = choices(sized, weights, share, max_epochs).drop("source")
     rows = docs.select(F.struct("*").alias("_row"), draw(seed).alias("u"), F.coalesce("source", F.lit("")).alias("skey"), F.col("source").isNull().alias("snull"))
+    if shared is not None:
+        on = ["skey", "snull", "u"]
+        hashed = F.xxhash64(*[F.col("_row")[f.name] for f in docs.schema if not isinstance(f.dataType, T.MapType | T.VariantType)])
+        part = F.struct(F.pmod(hashed, F.lit(1024)).alias("hash"), F.spark_partition_id().alias("at"))
+        told = materialise(rows.join(small(shared), on, "left_semi").withColumn("part", part), "mix-shared")
+        rows = rows.join(small(shared), on, "left_anti").unionByName(materialise(apart(told, hashed).drop("part"), "mix-shared"))
     out = rows.join(small(params), ["skey", "snull"]).withColumn("_copies", _copies(words(F.col("_row")["text"]))).where("_copies > 0")
     return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("_row.*")

@@ -87,7 +87,9 @@ SQL = {
     "op9_mixing": r"""
         WITH sized AS (
             SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-                   md5('7:' || coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))) AS u
+                   md5('7:' || coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))) AS place,
+                   row_number() OVER (PARTITION BY source, doc_id, text) AS k,
+                   CASE WHEN k = 1 THEN place ELSE md5(place || ':' || k) END AS u
             FROM documents),
         by_source AS (
             SELECT source, sum(size)::BIGINT AS source_size,

@@ -536,7 +536,7 @@ def test_water_filling(spark):
     rng = random.Random(4)
     for _ in range(3):
         sizes = {s: rng.choice([1, 10, 100, 1000]) * rng.randrange(1, 9) for s in ["b", "é", "a", "Z", "", None, "z"]}
-        df = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, size long")
+        df = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, size long").repartition(3)
         for share in (0.5, 1.5, 2.5):
             got = {r.source: r.target for r in mixing.targets(df, (3, 1, 2), share, 2.0).collect()}
             want = brute.targets(sizes, [3, 1, 2], share, 2.0)
@@ -580,6 +580,24 @@ def test_mix_long_document(spark):
         assert n == {r.doc_id: r.copies for r in out if r.copies}
 
 
+def test_mix_repeated_rows(spark):
+    """Rows equal in id, text and source are taken one by one: the target is met to within a document."""
+    text = "one two three"
+    data = [(7, text, "b")] * 40 + [(i + 100, "w " * 5, "a") for i in range(20)] + [(8, text, None)] * 3
+    df = docs(spark, data, clash=True).repartition(6)
+    out = mixing.mix(df, weights=(1,), share=1.3).collect()
+    assert len(out) == len(data) and all(r.taken in (0, r.size, 2 * r.size) for r in out)
+    for d in (7, 8):
+        own = [r for r in out if r.doc_id == d]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 3, (d, own[0])
+    assert sorted(out) == sorted(mixing.mix(df.repartition(3), weights=(1,), share=1.3).collect())
+    rows_ = mixing.mixed_rows(df, weights=(1,), share=1.3)
+    n = {r.doc_id: r["count"] for r in rows_.groupBy("doc_id").count().collect()}
+    for d in {r.doc_id for r in out}:
+        assert n.get(d, 0) == sum(r.copies for r in out if r.doc_id == d)
+    assert rows_.columns == df.columns
+
+
 def test_mix_edges(spark):
     assert mixing.mix(docs(spark, [])).count() == 0 and mixing.mixed_rows(docs(spark, [])).count() == 0
     out = mixing.mix(docs(spark, [(1, None, "a"), (2, "", None)])).collect()
