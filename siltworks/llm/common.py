@@ -63,8 +63,8 @@ def tables_written() -> int:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df once to the shared folder and read it from there.
+def materialise(df: DataFrame, name: str, **options) -> DataFrame:
+    """Write df once to the shared folder (with the options of a Parquet writer) and read it from there.
 
     Later steps start from the written table: its lineage is cut, it outlives lost executors, and the shuffle files
     that made it are dropped as soon as it is written.
@@ -74,7 +74,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(_CLEANUP, None)
     try:
         spark.conf.set(_CLEANUP, "true")
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     finally:
         spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(schema).parquet(path)

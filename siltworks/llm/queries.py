@@ -71,13 +71,19 @@ SQL = {
         WITH words AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
         sizes AS (SELECT r, doc_id, len(w)::BIGINT AS n_words FROM words),
         tokens AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM words),
-        pairs AS (SELECT *, lag(word) OVER (PARTITION BY r ORDER BY i) AS prev FROM tokens),
+        placed AS (SELECT *, lag(word, 1) OVER w AS p1, lag(word, 2) OVER w AS p2 FROM tokens WINDOW w AS (PARTITION BY r ORDER BY i)),
         uni AS (SELECT word, count(*) AS c FROM tokens GROUP BY word),
-        bi AS (SELECT prev, word, count(*) AS c FROM pairs WHERE prev IS NOT NULL GROUP BY prev, word),
+        bi AS (SELECT p1, word, count(*) AS c FROM placed WHERE p1 IS NOT NULL GROUP BY p1, word),
+        tri AS (SELECT p2, p1, word, count(*) AS c FROM placed WHERE p2 IS NOT NULL GROUP BY p2, p1, word),
         total AS (SELECT count(*) AS n FROM tokens),
         scored AS (
-            SELECT p.r, CASE WHEN b.c >= 2 THEN ln(b.c / v.c) WHEN p.prev IS NOT NULL THEN ln(0.4) + ln(u.c / n) ELSE ln(u.c / n) END AS s
-            FROM pairs p CROSS JOIN total JOIN uni u ON p.word = u.word LEFT JOIN uni v ON p.prev = v.word LEFT JOIN bi b ON p.prev = b.prev AND p.word = b.word),
+            SELECT p.r, CASE
+                WHEN t.c >= 2 THEN ln(t.c / b0.c)
+                WHEN b.c >= 2 THEN ln(b.c / u1.c) + CASE WHEN p.p2 IS NOT NULL THEN ln(0.4) ELSE 0 END
+                ELSE ln(u.c / n) + ln(0.4) * ((p.p1 IS NOT NULL)::INT + (p.p2 IS NOT NULL)::INT) END AS s
+            FROM placed p CROSS JOIN total JOIN uni u ON p.word = u.word LEFT JOIN uni u1 ON p.p1 = u1.word
+            LEFT JOIN bi b ON p.p1 = b.p1 AND p.word = b.word LEFT JOIN bi b0 ON p.p2 = b0.p1 AND p.p1 = b0.word
+            LEFT JOIN tri t ON p.p2 = t.p2 AND p.p1 = t.p1 AND p.word = t.word),
         sums AS (SELECT r, sum(s) AS score FROM scored GROUP BY r)
         SELECT doc_id, n_words, round(coalesce(score, 0.0), 4) AS score, round(score / nullif(n_words, 0), 6) AS mean_score FROM sizes LEFT JOIN sums USING (r)""",
     "op5_exact_dedup": r"""

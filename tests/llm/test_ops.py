@@ -235,7 +235,7 @@ def test_components(spark):
 
 @pytest.mark.parametrize(("order", "least"), [(1, 1), (2, 2), (3, 2), (3, 1)])
 def test_lm(spark, corpus, order, least):
-    got = lm.lm_scores(docs(spark, corpus, clash=True), order=order, least=least, blocks=3)
+    got = lm.lm_scores(docs(spark, corpus, clash=True), order=order, least=least, block_bytes=2000, range_words=300)
     assert [(a, b, round(c, 6)) for a, b, c, _ in collected(got)] == brute.lm(pairs(corpus), order, 0.4, least)
 
 
