@@ -179,5 +179,7 @@ def lm_scores(docs: DataFrame, order: int = 3, alpha: float = 0.4, least: int =
         mean = pa.array(np.where(m > 0, s / np.maximum(m, 1), 0.0), mask=m == 0)
         return pa.table([left.column("ids").combine_chunks().flatten(), pa.array(m), pa.array(s, pa.float64()), mean], names=["doc_id", "n_words", "score", "mean_score"])
 
-    counted = reduce(DataFrame.unionByName, counts)
-    return blocks.select("block", "ids", "sizes", "texts").groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(score, "doc_id long, n_words long, score double, mean_score double")
+    tasks = min(parts, MOST_TASKS)  # as many as ranges, so that what a task reads does not grow with the corpus
+    counted = reduce(DataFrame.unionByName, counts).repartition(tasks, "block")
+    dealt = blocks.select("block", "ids", "sizes", "texts").repartition(tasks, "block")
+    return dealt.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(score, "doc_id long, n_words long, score double, mean_score double")
