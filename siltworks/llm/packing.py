@@ -3,8 +3,9 @@
 Each example is a vector (tokens, segments, loss-bearing tokens), each sequence has a capacity in all three.  The
 open sequence takes, of the examples that fit, the one with the largest dot product with what the sequence has left;
 where none fits and cutting is allowed, it takes the first part of the longest example, as much as fits.  Shards of
-about ``shard_tokens`` are packed apart, within the task that read them: nothing is shuffled, memory follows the
-shard, and a lost task packs the same shards again.
+about ``shard_tokens`` (and at most ``shard_docs`` examples) are packed apart, within the task that read them: nothing
+is shuffled, memory follows the shard, and a lost task packs the same shards again.  Equal vectors are looked at as
+one, so a shard takes steps in the number of its different vectors and sequences, not in the square of its examples.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .textops import Chunk, chunks
 
@@ -46,7 +48,7 @@ def pack_vectors(tokens: np.ndarray, loss: np.ndarray, limits: Limits) -> list[l
     The loss-bearing tokens of an example count as spread evenly over it (a piece's share is rounded up).  Without
     cut an example beyond a limit is a sequence of its own.  Examples without tokens are left out.
     """
-    total, per = tokens.astype(np.float64), np.where(tokens > 0, loss / np.maximum(tokens, 1), 0.0)
+    per = np.where(tokens > 0, loss / np.maximum(tokens, 1), 0.0)
     at = np.zeros(len(tokens), np.int64)
     left = tokens.astype(np.int64).copy()
     out: list[list[tuple[int, int, int]]] = []
@@ -62,34 +64,71 @@ def pack_vectors(tokens: np.ndarray, loss: np.ndarray, limits: Limits) -> list[l
             at[i] += step
             left[i] -= step
     live = np.flatnonzero(left > 0)
-    live = live[np.argsort(-left[live], kind="stable")]
-    del total
-    t, p, who = left[live].astype(np.float64), per[live], live
-    alive = np.ones(len(live), bool)
-    n = len(live)
+    live = live[np.lexsort((live, per[live], -left[live]))]
+    # examples that are the same vector are one class, so a step looks at different vectors only
+    new = np.ones(len(live), bool)
+    new[1:] = (left[live][1:] != left[live][:-1]) | (per[live][1:] != per[live][:-1])
+    first = np.flatnonzero(new)
+    t, p = left[live[first]].astype(np.float64), per[live[first]]
+    held = [live[a:b][::-1].tolist() for a, b in zip(first, np.append(first[1:], len(live)), strict=True)]
+    n, dead = len(live), 0
+    bearing = np.ceil(t * p)
+    count = np.array([len(x) for x in held], np.int64)
+    place = {x: k for k, x in enumerate(zip(t.tolist(), p.tolist(), strict=True))}
+
+    def drop_empty() -> None:
+        nonlocal t, p, bearing, count, held, place, dead
+        stay = np.flatnonzero(count)
+        t, p, bearing, count, held, dead = t[stay], p[stay], bearing[stay], count[stay], [held[k] for k in stay], 0
+        place = {x: k for k, x in enumerate(zip(t.tolist(), p.tolist(), strict=True))}
+
+    def put_back(i: int, rest: float, share: float) -> None:
+        nonlocal t, p, bearing, count, dead
+        k = place.get((rest, share))
+        if k is None:
+            k = place[rest, share] = len(held)
+            held.append([])
+            t, p, bearing, count = np.append(t, rest), np.append(p, share), np.append(bearing, np.ceil(rest * share)), np.append(count, 0)
+            dead += 1
+        dead -= count[k] == 0
+        held[k].append(i)
+        count[k] += 1
+
     while n:
-        if n < len(t) // 2:
-            t, p, who, alive = t[alive], p[alive], who[alive], np.ones(n, bool)
-        room, seats, bears = float(limits.tokens), float(limits.segments), float(limits.loss)
+        if 2 * dead > len(t):
+            drop_empty()
+        room, seats, bears = limits.tokens, limits.segments, float(limits.loss)
         seq: list[tuple[int, int, int]] = []
         while n and room >= 1 and seats >= 1:
-            fits = alive & (t <= room) & (np.ceil(t * p) <= bears)
-            score = t / limits.tokens * (room / limits.tokens) + seats / limits.segments / limits.segments + t * p / limits.loss * (bears / limits.loss)
-            k = int(np.argmax(np.where(fits, score, -1.0)))
-            if fits[k]:
-                take = int(t[k])
-            else:
-                k = int(np.argmax(np.where(alive, t, -1.0)))
-                take = int(min(room, t[k], np.floor(bears / p[k]) if p[k] > 0 else room))
-                if not limits.cut or take < limits.min_piece:
-                    break
-            i = int(who[k])
+            fits = (count > 0) & (t <= room) & (bearing <= bears)
+            if fits.any():
+                score = t / limits.tokens * (room / limits.tokens) + seats / limits.segments / limits.segments + bearing / limits.loss * (bears / limits.loss)
+                k = int(np.argmax(np.where(fits, score, -1.0)))
+                take, loss_, many = int(t[k]), bearing[k], 1
+                if count[k] > 1 and t[k] >= t[fits].max() and loss_ >= bearing[fits].max():  # stays the best while it fits
+                    many = int(min(count[k], room // take, seats, bears // loss_ if loss_ else count[k]))
+                for _ in range(many):
+                    i = held[k].pop()
+                    seq.append((i, int(at[i]), take))
+                    at[i] += take
+                count[k] -= many
+                dead += count[k] == 0
+                n -= many
+                room, seats, bears = room - many * take, seats - many, bears - many * loss_
+                continue
+            k = int(np.argmax(np.where(count > 0, t, -1.0)))
+            take = int(min(room, t[k], np.floor(bears / p[k]) if p[k] > 0 else room))
+            if not limits.cut or take < limits.min_piece:
+                break
+            i, share, rest = held[k].pop(), float(p[k]), float(t[k] - take)
             seq.append((i, int(at[i]), take))
             at[i] += take
-            t[k] -= take
-            room, seats, bears = room - take, seats - 1, bears - np.ceil(take * p[k])
-            if t[k] <= 0:
-                alive[k] = False
+            room, seats, bears = room - take, seats - 1, bears - np.ceil(take * share)
+            count[k] -= 1
+            dead += count[k] == 0
+            if rest > 0:
+                put_back(i, rest, share)
+            else:
                 n -= 1
         out.append(seq)
     return out
@@ -246,15 +285,22 @@ def _different(h: np.ndarray, check: np.ndarray) -> np.ndarray:
     return order[first]
 
 
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long"
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, limits: Limits = Limits(segments=4096), shard_tokens: int = 1 << 22) -> DataFrame:
-    """Pieces of the documents' token ids in sequences of at most limits.tokens.
+def pack_documents(
+    docs: DataFrame, tokenizer: str, end_id: int = 2, limits: Limits = Limits(segments=4096), shard_tokens: int = 1 << 22, shard_docs: int = 1 << 18, prompt: str | None = None
+) -> DataFrame:
+    """Pieces of the documents' token ids in sequences of at most limits.tokens, limits.segments pieces and limits.loss
+    loss-bearing tokens.
 
     docs has doc_id and text; a null text is empty, so its document is the end id alone; null and repeated ids are
-    documents like others.  All tokens bear loss.  The last sequence of a shard is cut at powers of two, where no
-    padding is needed.  Sequence ids are unique: the task's number and a count.  Other columns are not read.
+    documents like others, and texts may be of any length.  ``prompt`` names a column of instruction data: its ids come
+    before those of the text and bear no loss; without it all tokens bear loss.  loss_tokens is what a piece bears.
+    (While packing, the loss of an example that is cut counts as spread evenly over it.)  Of examples with equal
+    vectors the first read goes first.  The last sequence of a shard is cut at powers of two, where no padding is
+    needed, unless limits.cut is off.  Sequence ids are unique: the task's number and a count.  An empty table gives an
+    empty result.  Other columns are not read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,18 +309,19 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, limits: Lim
         tok = _OWN[tokenizer, end_id]
         task = TaskContext.get()
         ahead = [(task.partitionId() if task else 0) << 36]
-        docs_, ids_, held = [], [], 0
+        docs_, ids_, free_, held = [], [], [], 0
 
         def flush() -> pa.RecordBatch:
-            n = np.array([len(x) for x in ids_], np.int64)
+            n, free = np.array([len(x) for x in ids_], np.int64), np.array(free_, np.int64)
             rows: list[tuple] = []
-            seqs = pack_vectors(n, n, limits)
+            seqs = pack_vectors(n, n - free, limits)
             for seq in seqs:
                 whole = sum(x[2] for x in seq)
-                for own in [seq] if whole == limits.tokens else at_powers(seq):
+                for own in [seq] if whole == limits.tokens or not limits.cut else at_powers(seq):
                     off = 0
                     for i, start, length in own:
-                        rows.append((docs_[i], start, length, zlib.crc32(ids_[i][start : start + length].tobytes()), len(ids_[i]), ahead[0], off))
+                        bears = max(0, start + length - max(start, free_[i]))
+                        rows.append((docs_[i], start, length, zlib.crc32(ids_[i][start : start + length].tobytes()), len(ids_[i]), ahead[0], off, bears))
                         off += length
                     ahead[0] += 1
             names = [x.split()[0] for x in PIECES.split(", ")]
@@ -285,12 +332,18 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, limits: Lim
             for c in chunks(batch.column("text"), 1 << 20):
                 docs_ += ids[c.first : c.first + c.size]
                 own = tok.encode(c)
+                if prompt is None:
+                    free_ += [0] * c.size
+                else:
+                    before = [x[:-1] for d in chunks(batch.column("prompt").slice(c.first, c.size)) for x in tok.encode(d)]
+                    free_ += [len(x) for x in before]
+                    own = [np.concatenate(x) for x in zip(before, own, strict=True)]
                 ids_ += own
                 held += sum(map(len, own))
-                if held >= shard_tokens:
+                if held >= shard_tokens or len(docs_) >= shard_docs:
                     yield flush()
-                    docs_, ids_, held = [], [], 0
+                    docs_, ids_, free_, held = [], [], [], 0
         if docs_:
             yield flush()
 
-    return docs.select("doc_id", "text").mapInArrow(run, PIECES)
+    return docs.select("doc_id", "text", *([F.col(prompt).alias("prompt")] if prompt else [])).mapInArrow(run, PIECES)

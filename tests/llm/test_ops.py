@@ -414,6 +414,65 @@ def test_vector_packing(limits):
     assert at == tokens.tolist()
 
 
+def test_packing_many_equal_texts():
+    """A shard of texts without tokens of their own, and of few lengths, takes seconds."""
+    import time
+
+    start = time.perf_counter()
+    n = np.ones(1_000_000, np.int64)
+    seqs = packing.pack_vectors(n, n, packing.Limits(segments=4096))
+    assert len(seqs) == -(-len(n) // 4096) and sum(map(len, seqs)) == len(n)
+    rng = np.random.default_rng(1)
+    n = rng.integers(1, 40, 200_000)
+    loss = (n * rng.integers(0, 3, len(n)) // 2).astype(int)
+    seqs = packing.pack_vectors(n, loss, packing.Limits(4096, 200, 2048))
+    assert sorted(i for s in seqs for i in {x[0] for x in s})[::50_000] == [0, 50_000, 100_000, 150_000]
+    assert time.perf_counter() - start < 40
+
+
+def test_packing_instructions(spark):
+    """Pairs of turns under three limits, each of which binds: prompts bear no loss."""
+    path, own = tokenizer()
+    c = spark.read.parquet(f"{SF}/conversations.parquet")
+    user = c.where("role = 'user'").select("conv_id", "turn", F.col("text").alias("ask"))
+    answer = c.where("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("turn"), "text")
+    pairs_ = user.join(answer, ["conv_id", "turn"]).select((F.col("conv_id") * 100 + F.col("turn")).alias("doc_id"), "ask", "text")
+    data = {r.doc_id: (own.encode(r.ask or "", add_special_tokens=False).ids, [*own.encode(r.text or "", add_special_tokens=False).ids, 2]) for r in pairs_.collect()}
+    n = {d: (len(a) + len(b), len(b)) for d, (a, b) in data.items()}
+    room, loss = max(x for x, _ in n.values()) + 200, max(x for _, x in n.values()) + 60
+    bound = set()
+    for limits in (packing.Limits(room, 64, loss, cut=False), packing.Limits(8 * room, 3, 8 * loss, cut=False), packing.Limits(8 * room, 64, loss, cut=False)):
+        out = packing.pack_documents(pairs_, path, 2, limits, prompt="ask").collect()
+        assert sorted(r.doc_id for r in out) == sorted(data)
+        seqs = {}
+        for r in out:
+            assert (r.start, r.length, r.loss_tokens) == (0, *n[r.doc_id]) and r.ids_crc32 == zlib.crc32(np.array([*data[r.doc_id][0], *data[r.doc_id][1]], np.uint32).tobytes())
+            seqs.setdefault(r.sequence_id, []).append(r)
+        for s in seqs.values():
+            sums = (sum(r.length for r in s), len(s), sum(r.loss_tokens for r in s))
+            assert sums[0] <= limits.tokens and sums[1] <= limits.segments and sums[2] <= limits.loss
+            smallest = min(n.values())
+            bound |= {k for k, (x, add, most) in enumerate(zip(sums, (smallest[0], 1, smallest[1]), (limits.tokens, limits.segments, limits.loss), strict=True)) if x + add > most}
+    assert bound == {0, 1, 2}
+
+
+def test_op6(spark):
+    """The query against the tokenizer, on the whole table."""
+    _, own = tokenizer()
+    data = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    assert check_pieces(data, queries.op6_packing(spark, SF).collect(), own) == 0
+
+
+def test_packing_edges(spark):
+    path, own = tokenizer()
+    df = docs(spark, [(None, "a b", "s"), (None, None, "s"), (1, "a b", "s"), (1, "a b", "s"), (2, "long " * 500_000, "s")]).coalesce(1)
+    out = packing.pack_documents(df, path).collect()
+    n = len(own.encode("a b", add_special_tokens=False).ids) + 1
+    assert sum(r.length for r in out if r.doc_id is None) == n + 1 and sum(r.length for r in out if r.doc_id == 1) == 2 * n
+    long = sorted((r.start, r.length) for r in out if r.doc_id == 2)
+    assert long[0][0] == 0 and all(a + b == c for (a, b), (c, _) in zip(long, long[1:], strict=False)) and sum(x for _, x in long) == 500_001
+
+
 def test_at_powers():
     for total in (1, 2, 3, 100, 4095):
         seq = [(0, 5, total // 3), (1, 0, total - total // 3)] if total > 2 else [(0, 0, total)]
