@@ -6,6 +6,9 @@ a frame, footer with the number of frames, a flag byte and the magic 0x8F92EAB1)
 to bundle, frame, offset in the decompressed frame and length, so one record is read with one frame.
 
 Pages of equal payload (same SHA-256) are stored once: the largest page_id as a response, the others as revisits.
+
+A bundle's name is new in every attempt of a task.  The index is a written table, so it names the bundles of the
+attempts that were committed, and readers open those alone: what a lost or repeated attempt left behind is not read.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, new_path, with_leaders
+from .common import materialise, new_path, partitions, with_leaders
 from .textops import buffers
 
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1  # fixed by the seekable format
@@ -33,8 +36,9 @@ INDEX = "page_id long, record_id string, record_type string, bundle string, fram
 RECORDS = "page_id long, url string, record_id string, record_type string, payload_bytes long, payload_digest string, refers_to_record string, refers_to long, payload binary"
 
 
-def record_id(page: int | None, kind: str = "page") -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{kind}:{page}')}>"
+def record_id(page: int | None, digest: str) -> str:
+    """Of a capture of a page: rows that repeat page and payload are one capture, so they share it."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page}:{digest}')}>"
 
 
 def sha1_base32(payload: bytes) -> str:
@@ -44,17 +48,17 @@ def sha1_base32(payload: bytes) -> str:
 def record(page: int | None, url: str | None, payload: bytes, refers: int | None) -> bytes:
     """One WARC/1.1 record: a response with its payload, or a revisit with the HTTP header alone."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
-    block = http if refers is not None else http + payload
+    block, digest = http if refers is not None else http + payload, sha1_base32(payload)
     head = [
-        "WARC/1.1", f"WARC-Type: {'response' if refers is None else 'revisit'}", f"WARC-Record-ID: {record_id(page)}", f"WARC-Date: {DATE}",
-        f"WARC-Payload-Digest: sha1:{sha1_base32(payload)}", f"WARC-Block-Digest: sha1:{sha1_base32(block)}", "Content-Type: application/http; msgtype=response",
+        "WARC/1.1", f"WARC-Type: {'response' if refers is None else 'revisit'}", f"WARC-Record-ID: {record_id(page, digest)}", f"WARC-Date: {DATE}",
+        f"WARC-Payload-Digest: sha1:{digest}", f"WARC-Block-Digest: sha1:{sha1_base32(block)}", "Content-Type: application/http; msgtype=response",
     ]
     if url is not None:
         head.append("WARC-Target-URI: " + url.replace("\r", "%0D").replace("\n", "%0A"))
     if page is not None:
         head.append(f"X-Page-Id: {page}")
     if refers is not None:
-        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {record_id(refers)}", f"X-Refers-To-Page-Id: {refers}"]
+        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {record_id(refers, digest)}", f"X-Refers-To-Page-Id: {refers}"]
     head.append(f"Content-Length: {len(block)}")
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -112,7 +116,7 @@ def read_frame(data: bytes | memoryview, frame: int) -> bytes:
 
 
 def put(directory: str, name: str, data: bytes) -> None:
-    """Write a file of the shared folder so that it is there whole or not at all; a repeated task replaces it by the same."""
+    """Write a file of the shared folder so that it is there whole or not at all."""
     url = urlparse(directory)
     if url.scheme in ("", "file"):
         folder = unquote(url.path)
@@ -129,12 +133,27 @@ def put(directory: str, name: str, data: bytes) -> None:
             f.write(data)
 
 
+def get(directory: str, name: str) -> bytes:
+    url = urlparse(directory)
+    if url.scheme in ("", "file"):
+        with open(f"{unquote(url.path)}/{name}", "rb") as f:
+            return f.read()
+    from pyarrow import fs
+
+    store, folder = fs.FileSystem.from_uri(directory)
+    with store.open_input_stream(f"{folder}/{name}") as f:
+        return f.read()
+
+
 def write_bundles(pages: DataFrame, directory: str, frame_bytes: int = 1 << 18, bundle_bytes: int = 1 << 25, level: int = 3) -> DataFrame:
-    """Write pages (page_id, url, html, refers_to) as bundles and return the index, lazily: it must be materialised."""
+    """Write pages (page_id, url, html, refers_to) as bundles and return the index, lazily: it must be materialised.
+
+    Bundles are read back through the index, whatever else the folder holds.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
-        part, k, rows = task.partitionId() if task else 0, 0, []
+        part, attempt, k, rows = task.partitionId() if task else 0, uuid.uuid4().hex, 0, []
         bundle = Bundle(frame_bytes, level)
         names = [x.split()[0] for x in INDEX.split(", ")]
         schema = pa.schema(list(zip(names, [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64()], strict=True)))
@@ -144,7 +163,7 @@ def write_bundles(pages: DataFrame, directory: str, frame_bytes: int = 1 << 18,
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
 
         def name() -> str:
-            return f"pages-{part:06d}-{k:05d}.warc.zst"
+            return f"pages-{part:06d}-{k:05d}-{attempt}.warc.zst"
 
         for batch in batches:
             data, at = buffers(batch.column("html"))
@@ -152,7 +171,7 @@ def write_bundles(pages: DataFrame, directory: str, frame_bytes: int = 1 << 18,
             for i, (page, url, refers) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "refers_to")), strict=True)):
                 one = record(page, url, bytes(raw[at[i] : at[i + 1]]), refers)
                 frame, offset = bundle.add(one)
-                rows.append((page, record_id(page), "response" if refers is None else "revisit", name(), frame, offset, len(one)))
+                rows.append((page, record_id(page, sha1_base32(bytes(raw[at[i] : at[i + 1]]))), "response" if refers is None else "revisit", name(), frame, offset, len(one)))
                 if bundle.size >= bundle_bytes:
                     yield finish()
                     bundle, rows, k = Bundle(frame_bytes, level), [], k + 1
@@ -187,44 +206,46 @@ def parse(raw: bytes) -> Iterator[dict]:
         at = end + 4 + n + 4
 
 
-def read_bundles(spark: SparkSession, directory: str, payloads: bool = True) -> DataFrame:
-    """All records of the bundles of a folder, read frame by frame; digests are checked."""
-    kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
-    schema = pa.schema(list(zip([x.split()[0] for x in RECORDS.split(", ")], kinds, strict=True)))
+_KINDS = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
+_SCHEMA = pa.schema(list(zip([x.split()[0] for x in RECORDS.split(", ")], _KINDS, strict=True)))
+
+
+def read_bundles(spark: SparkSession, directory: str, index: DataFrame, payloads: bool = True) -> DataFrame:
+    """All records of the bundles that index names, read frame by frame; digests are checked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch.column("content"):
-                data = memoryview(content.as_buffer())
+            for name in batch.column("bundle").to_pylist():
+                data = memoryview(get(directory, name))
                 for k in range(len(seek_table(data))):
                     rows = list(parse(read_frame(data, k)))
                     if not payloads:
                         for x in rows:
                             x["payload"] = None
-                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                    yield pa.RecordBatch.from_pylist(rows, schema=_SCHEMA)
+
+    return _dealt(index.select("bundle").distinct()).mapInArrow(run, RECORDS)
+
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(directory).select("content")
-    return files.mapInArrow(run, RECORDS)
+def _dealt(bundles: DataFrame) -> DataFrame:
+    """A row a bundle, a few bundles a task: rows are small, so the planner would put all into one."""
+    return bundles.repartition(max(partitions(bundles.sparkSession), 1), "bundle")
 
 
 def read_records(spark: SparkSession, directory: str, index: DataFrame) -> DataFrame:
     """The records that the rows of index name (see write_bundles), each from its frame and offset alone."""
-    kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
-    schema = pa.schema(list(zip([x.split()[0] for x in RECORDS.split(", ")], kinds, strict=True)))
-    wanted = index.groupBy("bundle").agg(F.collect_list(F.struct("frame", "offset", "length")).alias("places"))
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(directory)
-    files = files.select(F.element_at(F.split("path", "/"), -1).alias("bundle"), "content").join(wanted, "bundle")
+    wanted = index.groupBy("bundle").agg(F.collect_list(F.struct("frame", "offset", "length")).alias("places"))  # bounded by the bundle
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content, places in zip(batch.column("content"), batch.column("places").to_pylist(), strict=True):
-                data, frames = memoryview(content.as_buffer()), {}
-                for x in places:
+            for name, places in zip(batch.column("bundle").to_pylist(), batch.column("places").to_pylist(), strict=True):
+                data, frames = memoryview(get(directory, name)), {}
+                for x in sorted(places, key=lambda x: (x["frame"], x["offset"])):
                     raw = frames.setdefault(x["frame"], None) or read_frame(data, x["frame"])
                     frames = {x["frame"]: raw}
-                    yield pa.RecordBatch.from_pylist(list(parse(raw[x["offset"] : x["offset"] + x["length"]])), schema=schema)
+                    yield pa.RecordBatch.from_pylist(list(parse(raw[x["offset"] : x["offset"] + x["length"]])), schema=_SCHEMA)
 
-    return files.mapInArrow(run, RECORDS)
+    return _dealt(wanted).mapInArrow(run, RECORDS)
 
 
 def with_revisits(pages: DataFrame) -> DataFrame:
@@ -246,12 +267,12 @@ def archive(pages: DataFrame, directory: str | None = None) -> tuple[str, DataFr
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
-    """Archive pages and read the archives back: one row per page, without payloads.
+    """Archive pages (page_id, url, html) and read the archives back: one row per row, without payloads.
 
-    An empty table writes no bundle and gives an empty result.
+    Null html is an empty payload; a null page_id is written without one and smaller than any other; rows that repeat
+    page_id and payload come back as often.  Payloads are read whole, however long: a record is in one frame.  An empty
+    table writes no bundle and gives an empty result.  Other columns are not read.
     """
     spark = pages.sparkSession
     directory, index = archive(pages)
-    if index.isEmpty():
-        return spark.createDataFrame([], RECORDS).drop("payload")
-    return read_bundles(spark, directory, payloads=False).drop("payload")
+    return read_bundles(spark, directory, index, payloads=False).drop("payload")

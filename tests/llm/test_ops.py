@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import os
 import random
 import struct
 import zlib
@@ -499,16 +500,32 @@ def warc_truth(data):
 def test_warc_round_trip(spark):
     df = spark.createDataFrame(PAGES, "page_id long, url string, html string").withColumns({"leader": F.lit(1), "payload_key": F.lit(2)})
     where, index = warc.archive(df)
-    got = warc.read_bundles(spark, where)
+    got = warc.read_bundles(spark, where, index)
     assert sorted(tuple(r) for r in got.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()) == warc_truth(PAGES)
     html = {i: (h or "").encode() for i, _, h in PAGES}
     for r in got.collect():
         assert (bytes(r.payload) if r.record_type == "response" else None) == (html[r.page_id] if r.record_type == "response" else None)
-        assert r.url == f"http://h/{r.page_id}" and (r.refers_to_record == warc.record_id(r.refers_to) if r.refers_to is not None else r.refers_to_record is None)
+        assert r.url == f"http://h/{r.page_id}" and (r.refers_to_record == warc.record_id(r.refers_to, r.payload_digest) if r.refers_to is not None else r.refers_to_record is None)
     some = warc.read_records(spark, where, index.where("page_id % 7 = 0")).select("page_id").collect()
     assert sorted(r.page_id for r in some) == [i for i, *_ in PAGES if i % 7 == 0]
 
 
+def test_warc_recovery(spark, tmp_path):
+    """A task that runs twice, in another order, and bundles that others left: only those of the index are read."""
+    where, df = f"file://{tmp_path}", spark.createDataFrame(PAGES, "page_id long, url string, html string")
+    marked = warc.with_revisits(df)
+    warc.write_bundles(marked.orderBy(F.desc("page_id")).coalesce(1), where, 500, 900).collect()  # an attempt that was lost
+    before = set(os.listdir(tmp_path))
+    index = common.materialise(warc.write_bundles(marked.orderBy("page_id").coalesce(1), where, 500, 900), "index")
+    assert before and before < set(os.listdir(tmp_path)) and {r.bundle for r in index.collect()}.isdisjoint(before)
+    (tmp_path / "pages-000000-00009.warc.zst").write_bytes(b"left over and damaged")
+    got = warc.read_bundles(spark, where, index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    assert collected(got.fillna(-1, ["refers_to"])) == sorted((*x[:4], -1 if x[4] is None else x[4]) for x in warc_truth(PAGES))
+    for r in index.collect():
+        one = next(iter(warc.parse(warc.read_frame(warc.get(where, r.bundle), r.frame)[r.offset : r.offset + r.length])))
+        assert (one["page_id"], one["record_id"]) == (r.page_id, r.record_id)
+
+
 def test_bundle_format():
     import zstandard
 
