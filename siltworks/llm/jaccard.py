@@ -18,7 +18,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import block_pairs, materialise, partitions, stream_groups, with_leaders
@@ -26,7 +26,16 @@ from .graph import components
 from .textops import Chunk, chunks, grams, run_hashes, within
 
 _U = np.uint64
-NO_ID = -(2**63)  # stands for a null doc_id inside
+NO_ID = -(2**63)  # ids from here on stand for null doc_ids inside, one for each text
+NO_IDS = 1 << 60
+
+
+def inner_id() -> Column:
+    return F.coalesce("doc_id", F.lit(NO_ID) + F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(NO_IDS)))
+
+
+def outer_id(x: Column) -> Column:
+    return F.when(x >= F.lit(NO_ID + NO_IDS), x)
 
 
 def least_matches(n: int, threshold: float, tolerance: float) -> int:
@@ -74,7 +83,7 @@ def sketches(docs: DataFrame, gram: int, hashes: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mult = np.random.default_rng(20_240_501).integers(0, 2**63, hashes, dtype=np.uint64) * _U(2) + _U(1)
         for batch in batches:
-            ids = batch.column("doc_id").fill_null(NO_ID).to_numpy(zero_copy_only=False)
+            ids = batch.column("doc").to_numpy(zero_copy_only=False)
             for c in chunks(batch.column("text")):
                 h = c.hashes()
                 doc, sh = shingles(c, h, gram)
@@ -94,7 +103,7 @@ def sketches(docs: DataFrame, gram: int, hashes: int) -> DataFrame:
                     names=["doc", "k1", "k2", "words", "sig"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc long, k1 long, k2 long, words long, sig binary")
+    return docs.select(inner_id().alias("doc"), "text").mapInArrow(run, "doc long, k1 long, k2 long, words long, sig binary")
 
 
 def forest(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[list[int], list[int]]:
@@ -114,8 +123,33 @@ def forest(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[list[int], li
     return names[at].tolist(), names[up[at]].tolist()
 
 
-def _candidates(rows: pa.Table, sig: np.ndarray, bands: int, own_only: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of places to compare in a pair of blocks, a strip of rows at a time; with own_only, those with a common band."""
+class Joined:
+    """Sets of places (0 .. n - 1) that pairs have joined so far."""
+
+    def __init__(self, n: int):
+        self.root = np.arange(n)
+
+    def apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return self.root[left][:, None] != self.root[right][None, :]
+
+    def add(self, i: np.ndarray, j: np.ndarray) -> None:
+        while len(i):
+            a, b = self.root[i], self.root[j]
+            hi, lo = np.maximum(a, b), np.minimum(a, b)
+            diff = hi != lo
+            if not diff.any():
+                return
+            np.minimum.at(self.root, hi[diff], lo[diff])
+            while (self.root[self.root] != self.root).any():
+                self.root = self.root[self.root]
+
+
+def _candidates(rows: pa.Table, sig: np.ndarray, bands: int, own_only: bool, joined: Joined | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of places to compare in a pair of blocks, a strip of rows at a time; with own_only, those with a common band.
+
+    With joined, pairs that it already has in one set are left out; the caller adds to it after each strip.  The first
+    strip is a single row, so most of a group of near copies is joined before any other two of it are compared.
+    """
     own = rows.column("_own").to_numpy()
     cross = rows.column("_lo")[0].as_py() != rows.column("_hi")[0].as_py()
     left = np.flatnonzero(own == own[0]) if cross else np.arange(len(own))
@@ -123,8 +157,8 @@ def _candidates(rows: pa.Table, sig: np.ndarray, bands: int, own_only: bool) ->
     wide = sig.shape[1] // bands
     key = sig.reshape(len(sig), bands, wide).astype(np.uint64)
     key = (key * np.random.default_rng(3).integers(1, 2**63, wide, dtype=np.uint64)).sum(axis=2)
-    for k in range(0, len(left), 64):
-        part = left[k : k + 64]
+    for lo, hi in zip([0, *range(1, len(left), 64)], [1, *range(65, len(left) + 64, 64)], strict=False):
+        part = left[lo:hi]
         ok = np.zeros((len(part), len(right)), bool)
         if own_only:
             for b in range(bands):
@@ -133,6 +167,8 @@ def _candidates(rows: pa.Table, sig: np.ndarray, bands: int, own_only: bool) ->
             ok[:] = True
         if not cross:
             ok &= part[:, None] < right[None, :]
+        if joined is not None:
+            ok &= joined.apart(part, right)
         i, j = np.nonzero(ok)
         if len(i):
             yield part[i], right[j]
@@ -142,14 +178,21 @@ def _sig(rows: pa.Table) -> np.ndarray:
     return np.frombuffer(b"".join(x.as_buffer() for x in rows.column("sig")), np.uint32).reshape(rows.num_rows, -1)
 
 
-def jaccard_classes(docs: DataFrame, threshold: float = 0.8, gram: int = 5, bands: int = 24, band_rows: int = 4, tolerance: float = 1e-5, step: int = 16, block: int = 512) -> DataFrame:
-    """One row per row of docs (doc_id, text): doc_id, class_id, n_links, kept.
+def jaccard_classes(docs: DataFrame, **options) -> DataFrame:
+    """similar(docs, ...) without its inner ids: doc_id, class_id, n_links, kept of each row of docs."""
+    return similar(docs, **options).drop("inner")
+
+
+def similar(docs: DataFrame, threshold: float = 0.8, gram: int = 5, bands: int = 24, band_rows: int = 4, tolerance: float = 1e-5, step: int = 16, block: int = 512, count: bool = True) -> DataFrame:
+    """One row per row of docs (doc_id, text): doc_id, class_id, n_links, kept, inner (an id that is never null).
 
     Words are runs of bytes other than ``[\\x20\\x09-\\x0D]``, unchanged; similarity is the Jaccard coefficient of the
     sets of ``gram``-word shingles (a shorter text is one shingle).  class_id is the smallest doc_id that links reach,
     n_links the number of other rows linked directly, kept is doc_id = class_id.  Texts without words (null, empty)
-    link with nothing.  Rows that share a doc_id share class and links; null ids are one id, the smallest, shown as
-    null.  An empty table gives an empty result; other columns are not read.
+    link with nothing.  Rows that share a doc_id share class and links.  A null id is smaller than any other; rows
+    without one are documents of their own if their texts differ, and else share a verdict.  Without ``count`` pairs
+    whose class is known are not verified, and n_links is only a lower bound.  Texts are read whole, however long.  An
+    empty table gives an empty result; other columns are not read.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
@@ -167,9 +210,10 @@ def jaccard_classes(docs: DataFrame, threshold: float = 0.8, gram: int = 5, band
 
     def prune(rows: pa.Table) -> pa.RecordBatch | None:
         ids, sig = rows.column("doc").to_numpy(), _sig(rows)
-        a, b = [], []
-        for i, j in _candidates(rows, sig, bands, own_only=False):
+        a, b, joined = [], [], Joined(len(ids))
+        for i, j in _candidates(rows, sig, bands, own_only=False, joined=joined):
             live = surviving(sig, i, j, threshold, tolerance, step)
+            joined.add(i[live], j[live])
             a.append(i[live])
             b.append(j[live])
         if not a:
@@ -184,7 +228,7 @@ def jaccard_classes(docs: DataFrame, threshold: float = 0.8, gram: int = 5, band
     size = near.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
     full = nodes.join(near.join(size, "component").select(F.col("node").alias("doc"), "component", "n"), "doc")
     wanted = full.select("doc", "k1", "weight", "component", "n", "sig")
-    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "text").join(wanted, "doc")
+    texts = docs.select(inner_id().alias("doc"), "text").join(wanted, "doc")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -209,7 +253,8 @@ def jaccard_classes(docs: DataFrame, threshold: float = 0.8, gram: int = 5, band
         flat = np.unique(np.concatenate(own), return_inverse=True)[1]
         start = np.cumsum(lens) - lens
         mark, links, a, b = np.zeros(int(flat.max()) + 1 if len(flat) else 1, bool), np.zeros(len(ids), np.int64), [], []
-        for i, j in _candidates(rows, sig, bands, own_only=True):
+        joined = None if count else Joined(len(ids))
+        for i, j in _candidates(rows, sig, bands, own_only=True, joined=joined):
             live = surviving(sig, i, j, threshold, tolerance, step)
             i, j = i[live], j[live]
             ok = np.minimum(lens[i], lens[j]) >= threshold * np.maximum(lens[i], lens[j]) - 1e-9
@@ -222,6 +267,8 @@ def jaccard_classes(docs: DataFrame, threshold: float = 0.8, gram: int = 5, band
                 both = np.add.reduceat(mark[flat[at]].astype(np.int64), np.cumsum(n) - n)
                 mark[flat[start[x] : start[x] + lens[x]]] = False
                 y = y[(both >= threshold * (lens[x] + n - both) - 1e-9) & (ids[y] != ids[x])]
+                if joined is not None:
+                    joined.add(np.full(len(y), x), y)
                 links[x] += weight[y].sum()
                 links[y] += weight[x]
                 a.append(np.full(len(y), x))
@@ -232,22 +279,28 @@ def jaccard_classes(docs: DataFrame, threshold: float = 0.8, gram: int = 5, band
         s, t = forest(ids, np.concatenate(a), np.concatenate(b))
         left = np.concatenate([ids[hit], np.array(s, np.int64)])
         right = np.concatenate([ids[hit], np.array(t, np.int64)])
-        count = np.concatenate([links[hit], np.zeros(len(s), np.int64)])
-        return pa.RecordBatch.from_arrays([pa.array(left), pa.array(right), pa.array(count)], names=["a", "b", "links"])
+        number = np.concatenate([links[hit], np.zeros(len(s), np.int64)])
+        return pa.RecordBatch.from_arrays([pa.array(left), pa.array(right), pa.array(number)], names=["a", "b", "links"])
 
     found = stream_groups(parts.select("component", "_lo", "_hi", "_own", "doc", "weight", "sig", "sh"), ["component", "_lo", "_hi"], verify, "a long, b long, links long", partitions(spark))
     found = materialise(found, "jaccard-links")
     links = found.groupBy("a").agg(F.sum("links").alias("links")).select(F.col("a").alias("leader"), "links")
     classes = components(found.select("a", "b")).select(F.col("node").alias("leader"), "component")
-    own = led.join(links, "leader", "left").join(classes, "leader", "left")
+    # a written table, so that both sides of the join have an exchange of their own: a leader of very many rows can be
+    # split at run time only then
+    told = materialise(classes.join(links, "leader", "full"), "jaccard-classes")
+    own = led.join(told, "leader", "left")
     own = own.groupBy("doc").agg(F.sum(F.coalesce("links", F.lit(0)) + F.col("group_size") - 1).alias("links"), F.min(F.coalesce("component", "leader")).alias("component"))
-    out = docs.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("doc")).join(own, "doc", "left")
+    out = docs.select("doc_id", inner_id().alias("doc")).join(own, "doc", "left")
     component = F.coalesce("component", "doc")
-    return out.select("doc_id", F.nullif(component, F.lit(NO_ID)).alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), (component == F.col("doc")).alias("kept"))
+    return out.select("doc_id", outer_id(component).alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), (component == F.col("doc")).alias("kept"), F.col("doc").alias("inner"))
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs whose document stays (the smallest id of its class), all columns as they were."""
-    kept = jaccard_classes(docs, **options).where("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id")).distinct()
-    rows = docs.select(F.struct("*").alias("_row"), F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"))
+    """The rows of docs whose document stays (the smallest id of its class), all columns as they were.
+
+    Of rows that repeat id and text all stay: exact dedup is a stage of its own.
+    """
+    kept = similar(docs, count=False, **options).where("kept").select(F.col("inner").alias("_id")).distinct()
+    rows = docs.select(F.struct("*").alias("_row"), inner_id().alias("_id"))
     return rows.join(kept, "_id", "left_semi").select("_row.*")

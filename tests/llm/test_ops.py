@@ -698,6 +698,16 @@ def test_jaccard_edges(spark):
     assert got == sorted(map(str, [(1, None, 3), (2, None, 3), (None, None, 3), (3, None, 3), (3, None, 3), (4, 4, 0), (5, 5, 0)]))
 
 
+def test_jaccard_null_ids(spark):
+    """Near copies that have no id are linked, and one of them stays."""
+    text = " ".join(f"w{i}" for i in range(60))
+    df = docs(spark, [(None, text, "s"), (None, text + " more", "s"), (None, "x y z", "s"), (5, text + " again", "s"), (6, "other words here", "s")])
+    got = sorted((str(r.doc_id), str(r.class_id), r.n_links) for r in jaccard.jaccard_classes(df).collect())
+    assert got == [("5", "None", 2), ("6", "6", 0), ("None", "None", 0), ("None", "None", 2), ("None", "None", 2)]
+    kept = sorted(r.text for r in jaccard.one_of_each(df).collect())
+    assert len(kept) == 3 and kept[0] == "other words here" and kept[2] == "x y z" and kept[1].startswith("w0")
+
+
 def test_posterior():
     """The table of least matches against the posterior by numeric integration."""
     x = np.linspace(0, 1, 200_001)
