@@ -1,8 +1,11 @@
 """Embedding near-dedup by NN-descent.
 
-Equal vectors are one node with a weight.  Seeded sign projections give each node first neighbours; every round lets
-the neighbours of a node (forward and reverse, at least one of the two new) meet each other, and each node keeps its
-nearest ``k``.  Pairs at the threshold or above are links.
+Equal vectors are one node with a weight.  Seeded sign projections give each node first neighbours; there are as many
+tables of them as let two vectors at the threshold share a bucket of one with probability 0.99 (about n to the power
+0.15 at 0.95).  Every round lets the neighbours of a node (forward and reverse, at least one of the two new) meet each
+other, and each node keeps its nearest ``k``.  Neighbours beyond three times the threshold's angle are not kept: they
+lead to no link, and most vectors have no others, so what moves in a round follows the vectors that have neighbours.
+Pairs at the threshold or above are links.
 
 A list whose ``k`` entries are all links is saturated: what lies behind its end is unknown.  Such a list is enlarged
 to its whole component: members within half the threshold's angle of the component's first member are linked to each
@@ -12,14 +15,16 @@ components.  They end in full lists on both sides, so the components of full lis
 the largest angle from it), and where two balls are near enough for a link, their members: components that any link
 joins become one before links are counted.
 
-A sample of nodes is compared with all others to audit recall, over all links and in each class of nodes with about
-as many links; below the target, more tables and rounds follow, and after the last all components and single nodes
-are compared as balls, which finds every link.
+The vectors whose id is divisible by 50 are compared with all others, in blocks, to audit recall: over all links, and
+as the mean over the nodes of each class (about as many links, in a saturated component or not).  Below the target,
+more tables and rounds follow, and after the last all components and single nodes are compared as balls, which finds
+every link.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -64,8 +69,9 @@ def usable(emb: DataFrame, kind: str) -> DataFrame:
     return emb.select("vec_id", "embedding").mapInArrow(run, "id long, vec binary")
 
 
-def first_lists(nodes: DataFrame, kind: str, tables: range, bits: int, reach: int = 5, keep: int = 2) -> DataFrame:
-    """(a, b, sim): of each table, the best ``keep`` of the ``reach`` next nodes in sign-projection order, both ways."""
+def first_lists(nodes: DataFrame, kind: str, tables: range, bits: int, far: float, reach: int = 5, keep: int = 2) -> DataFrame:
+    """(a, b, sim): of each table, the best ``keep`` of the ``reach`` next nodes in sign-projection order, both ways, with
+    a cosine of at least ``far``."""
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[tuple[int, int], np.ndarray] = {}
@@ -104,7 +110,7 @@ def first_lists(nodes: DataFrame, kind: str, tables: range, bits: int, reach: in
                 top = np.argsort(-best, axis=1, kind="stable")[:, :keep]
                 rows = np.repeat(np.arange(hi - lo), keep)
                 col = top.ravel()
-                ok = best[rows, col] > -2
+                ok = best[rows, col] >= far
                 rows, col = rows[ok], col[ok]
                 other = np.where(col < reach, rows + col + 1, rows - (col - reach) - 1)
                 left.append(ids[lo + rows])
@@ -126,13 +132,15 @@ def nearest(pairs: DataFrame, k: int) -> DataFrame:
     return once.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def descend(lists: DataFrame, nodes: DataFrame, kind: str, k: int) -> DataFrame:
-    """One round: neighbours of a node meet, and what beats the end of a list enters it."""
-    ends = lists.groupBy("a").agg(F.min("sim").alias("low"), F.count(F.lit(1)).alias("n")).select(F.col("a").alias("id"), F.when(F.col("n") >= k, F.col("low")).otherwise(-2.0).alias("low"))
-    known = nodes.select("id", "vec").join(ends, "id", "left").select(F.col("id").alias("b"), "vec", F.coalesce("low", F.lit(-2.0)).alias("low"))
+def descend(lists: DataFrame, nodes: DataFrame, kind: str, k: int, far: float) -> DataFrame:
+    """One round: neighbours of a node meet, and what beats the end of a list (at least ``far``) enters it."""
+    ends = lists.groupBy("a").agg(F.min("sim").alias("low"), F.count(F.lit(1)).alias("n")).select(F.col("a").alias("id"), F.when(F.col("n") >= k, F.col("low")).otherwise(far).alias("low"))
+    known = nodes.select("id", "vec").join(ends, "id", "left").select(F.col("id").alias("b"), "vec", F.coalesce("low", F.lit(far)).alias("low"))
     back = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("new"), F.desc("sim"), "a"))
     reverse = lists.withColumn("back", back).where(F.col("back") <= k).select(F.col("b").alias("a"), F.col("a").alias("b"), "new")
     around = lists.select("a", "b", "new").unionByName(reverse).groupBy("a", "b").agg(F.max("new").alias("new"))
+    fresh = F.max("new").over(Window.partitionBy("a")) & (F.count(F.lit(1)).over(Window.partitionBy("a")) > 1)
+    around = around.withColumn("fresh", fresh).where("fresh").drop("fresh")  # vectors go to nodes with something new only
 
     def meet(rows: pa.Table) -> pa.RecordBatch | None:
         new = rows.column("new").to_numpy()
@@ -284,51 +292,64 @@ def crossing(members: DataFrame, kind: str, threshold: float, block: int) -> Dat
     return materialise(joined.unionByName(met), "vector-crossing")
 
 
-def audit(nodes: DataFrame, links: DataFrame, kind: str, threshold: float, sample: int = 256) -> tuple[int, int, float]:
-    """Links found and all links of a seeded sample of at most ``sample`` nodes, each compared with every node.
+def audit(nodes: DataFrame, links: DataFrame, asked: DataFrame, wide: DataFrame, kind: str, threshold: float, block_bytes: int = 1 << 24) -> dict:
+    """Recall of the nodes asked (id), each compared with every node: found and true links, and the worst class.
 
-    Third is the worst mean recall of the nodes of a class; a class has the nodes whose numbers of links have the same
-    number of binary digits, so that nodes with few links are not outweighed.
+    A class has the nodes whose numbers of links have the same number of binary digits and that are in a saturated
+    component (wide: id) or not, so that neither large groups nor those counted exactly hide others; its recall is the
+    mean of its nodes'.  The nodes asked are sent out in blocks of bounded size, one scan of the nodes for each.
     """
-    asked = nodes.orderBy(F.xxhash64("id")).limit(sample).select("id", "vec").collect()
-    if not asked:
-        return 0, 0, 1.0
-    by_wide: dict[int, list[int]] = {}
-    for i, r in enumerate(asked):
-        by_wide.setdefault(len(r["vec"]), []).append(i)
-    queries = {w: (np.array([asked[i]["id"] for i in at]), unit([bytes(asked[i]["vec"]) for i in at], kind)) for w, at in by_wide.items()}
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw, ids, w = [x.as_buffer() for x in batch.column("vec")], batch.column("id").to_numpy(), batch.column("weight").to_numpy()
-            for wide, (qid, q) in queries.items():
-                at = np.array([i for i, x in enumerate(raw) if len(x) == wide], dtype=np.int64)
-                for k in range(0, len(at), 4096):
-                    some = at[k : k + 4096]
-                    near = (q @ unit([raw[i] for i in some], kind).T >= threshold) & (qid[:, None] != ids[some][None, :])
-                    yield pa.RecordBatch.from_arrays([pa.array(qid), pa.array(near @ w[some])], names=["id", "n"])
-
-    true = nodes.select("id", "vec", "weight").mapInArrow(compare, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-    seen = true.join(links, "id", "left").select("n", F.least("n", F.coalesce("links", F.lit(0))).alias("got")).where("n > 0").collect()
-    classes: dict[int, list[float]] = {}
-    for r in seen:
-        classes.setdefault(int(r["n"]).bit_length(), []).append(r["got"] / r["n"])
-    return sum(int(r["got"]) for r in seen), sum(int(r["n"]) for r in seen), min((float(np.mean(x)) for x in classes.values()), default=1.0)
+    asked = materialise(nodes.join(asked, "id", "left_semi").select("id", "vec"), "vector-asked")
+    size = asked.agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("vec")).alias("wide")).first()
+    if not size["n"]:
+        return {"found": 0, "true": 0, "recall": 1.0, "worst": 1.0, "asked": 0}
+    blocks, counted = -(-size["n"] * size["wide"] // block_bytes), []
+    for k in range(blocks):
+        some = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == k).collect()
+        by_wide: dict[int, list[int]] = {}
+        for i, r in enumerate(some):
+            by_wide.setdefault(len(r["vec"]), []).append(i)
+        queries = {w: (np.array([some[i]["id"] for i in at]), unit([bytes(some[i]["vec"]) for i in at], kind)) for w, at in by_wide.items()}
+
+        def compare(batches: Iterator[pa.RecordBatch], queries: dict = queries) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                raw, ids, w = [x.as_buffer() for x in batch.column("vec")], batch.column("id").to_numpy(), batch.column("weight").to_numpy()
+                lens = np.array([len(x) for x in raw], dtype=np.int64)
+                for wide_, (qid, q) in queries.items():
+                    at, total = np.flatnonzero(lens == wide_), np.zeros(len(qid), np.int64)
+                    for lo in range(0, len(at), 2048):
+                        part = at[lo : lo + 2048]
+                        x = unit([raw[i] for i in part], kind)
+                        for c in range(0, len(qid), 2048):
+                            near = (q[c : c + 2048] @ x.T >= threshold) & (qid[c : c + 2048, None] != ids[part][None, :])
+                            total[c : c + 2048] += near @ w[part]
+                    yield pa.RecordBatch.from_arrays([pa.array(qid), pa.array(total)], names=["id", "n"])
+
+        counted.append(materialise(nodes.select("id", "vec", "weight").mapInArrow(compare, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")), "vector-audit"))
+    true = reduce(DataFrame.unionByName, counted).where("n > 0")
+    seen = true.join(links, "id", "left").join(wide.select("id", F.lit(True).alias("wide")), "id", "left").withColumn("got", F.least("n", F.coalesce("links", F.lit(0))))
+    classes = seen.groupBy(F.floor(F.log2("n")).alias("digits"), F.coalesce("wide", F.lit(False)).alias("wide")).agg(F.sum("got").alias("got"), F.sum("n").alias("n"), F.avg(F.col("got") / F.col("n")).alias("mean"))
+    rows = classes.collect()  # 64 classes of each kind at most
+    found, every = sum(r["got"] for r in rows), sum(r["n"] for r in rows)
+    return {"found": found, "true": every, "recall": found / every if every else 1.0, "worst": min((r["mean"] for r in rows), default=1.0), "asked": size["n"]}
 
 
 def _members(comp: DataFrame, nodes: DataFrame) -> DataFrame:
     return materialise(comp.select(F.col("component").alias("comp"), F.col("node").alias("id")).join(nodes, "id"), "vector-members")
 
 
-def near_vectors(emb: DataFrame, threshold: float = 0.95, k: int = 12, tables: int = 14, rounds: int = 3, target: float = 0.98, block: int = 1024, report: dict | None = None) -> DataFrame:
+def near_vectors(
+    emb: DataFrame, threshold: float = 0.95, k: int = 12, tables: int | None = None, rounds: int = 3, target: float = 0.98, block: int = 1024, every: int = 50, report: dict | None = None
+) -> DataFrame:
     """One row per row of emb (vec_id, embedding): vec_id, n_links, component_id, kept.
 
     n_links counts the other rows whose cosine (double precision) is at least threshold, among the pairs found; if the
-    audit stays below target, all pairs are found.  Null
-    and zero vectors and those with null or non-finite components link with nothing, and neither do vectors of
-    different length.  Rows that share a vec_id share links and component; null ids are one id, the smallest, shown
-    as null.  An empty table gives an empty result.  ``report`` gets the audited recall, that of the worst class of
-    nodes, and whether every pair was compared.
+    audit (of the ids divisible by ``every``) stays below target, all pairs are found.  Null and zero vectors and those
+    with null or non-finite components link with nothing, and neither do vectors of different length.  Rows that share
+    a vec_id share links and component; null ids are one id, the smallest, shown as null.  An empty table gives an
+    empty result; other columns, whatever their names, are not read.  ``tables`` defaults to what the threshold and the
+    number of vectors ask for.  ``report`` gets the audited recall, that of the worst class of nodes, how many were
+    asked, and whether every pair was compared.
     """
     kind = "f4" if isinstance(emb.schema["embedding"].dataType.elementType, T.FloatType) else "f8"
     rows = materialise(usable(emb, kind).withColumn("key", F.unhex(F.sha2("vec", 256))), "vectors")
@@ -337,15 +358,20 @@ def near_vectors(emb: DataFrame, threshold: float = 0.95, k: int = 12, tables: i
     nodes = materialise(rows.distinct().join(mine, ["id", "key"]).select("id", "vec", "weight"), "vector-nodes")
     n = nodes.count()
     bits = int(np.clip(np.round(np.log2(max(n, 1) / 12)), 1, 40))
+    angle = float(np.arccos(threshold))
+    far = float(np.cos(min(3 * angle, np.pi)))
+    meet = (1 - angle / np.pi) ** bits  # the chance that two vectors at the threshold share a bucket
+    tables = tables or max(4, int(np.ceil(np.log(0.01) / np.log1p(-min(meet, 0.99)))))
+    asked = materialise(led.where(F.pmod("id", F.lit(every)) == 0).select(F.col("leader").alias("id")).distinct(), "vector-asked")
     links, comp, lists = None, None, None
     for attempt in range(3):
-        fresh = first_lists(nodes, kind, range(attempt * tables, (attempt + 1) * tables), bits).withColumn("new", F.lit(True))
+        fresh = first_lists(nodes, kind, range(attempt * tables, (attempt + 1) * tables), bits, far).withColumn("new", F.lit(True))
         if lists is not None:
             fresh = fresh.unionByName(lists.select("a", "b", "sim", F.lit(False).alias("new")))
         lists = materialise(nearest(fresh, k), "vector-lists")
         for _ in range(rounds):
-            lists = materialise(descend(lists, nodes, kind, k), "vector-lists")
-            if lists.where("new").count() <= 0.02 * k * n:
+            lists = materialise(descend(lists, nodes, kind, k, far), "vector-lists")
+            if lists.where("new").count() <= 0.02 * lists.count():
                 break
         near = lists.where(F.col("sim") >= threshold)
         full = materialise(near.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k).select(F.col("a").alias("node")), "vector-full")
@@ -359,17 +385,20 @@ def near_vectors(emb: DataFrame, threshold: float = 0.95, k: int = 12, tables: i
         pairs = pairs.join(comp.join(wide, "component", "left_anti").select(F.col("node").alias("a")), "a")
         few = pairs.join(nodes.select(F.col("id").alias("b"), "weight"), "b").groupBy("a").agg(F.sum("weight").alias("links")).select(F.col("a").alias("id"), "links")
         links = materialise(few.unionByName(block_links(_members(comp.join(wide, "component"), nodes), kind, threshold, block)), "vector-links")
-        found, true, worst = audit(nodes, links, kind, threshold)
-        good = found >= target * true and worst >= target
+        seen = audit(nodes, links, asked, comp.join(wide, "component").select(F.col("node").alias("id")), kind, threshold)
+        good = seen["recall"] >= target and seen["worst"] >= target
         if report is not None:
-            report.update(found=found, true=true, recall=found / true if true else 1.0, worst=worst, attempts=attempt + 1, exact=not good and attempt == 2)
+            report.update(seen, attempts=attempt + 1, exact=not good and attempt == 2)
         if good:
             break
     else:
         balls = nodes.join(comp.withColumnRenamed("node", "id"), "id", "left").select(F.coalesce("component", "id").alias("comp"), "id", "vec")
         comp = materialise(components(near.select("a", "b").unionByName(crossing(balls, kind, threshold, block))), "vector-components")
         links = materialise(block_links(_members(comp, nodes), kind, threshold, block), "vector-links")
-    own = led.join(links.select(F.col("id").alias("leader"), "links"), "leader", "left").join(comp.select(F.col("node").alias("leader"), "component"), "leader", "left")
+    # a written table, so that both sides of the join have an exchange of their own: a leader of very many rows can be
+    # split at run time only then
+    told = comp.select(F.col("node").alias("leader"), "component").join(links.select(F.col("id").alias("leader"), "links"), "leader", "full")
+    own = led.join(materialise(told, "vector-told"), "leader", "left")
     own = own.groupBy("id").agg(F.sum(F.coalesce("links", F.lit(0)) + F.col("group_size") - 1).alias("links"), F.min(F.coalesce("component", "leader")).alias("component"))
     out = emb.select("vec_id", F.coalesce("vec_id", F.lit(NO_ID)).alias("id")).join(own, "id", "left")
     component = F.coalesce("component", "id")

@@ -205,13 +205,30 @@ def test_vectors_audit(spark):
     data += [(1000 + i, [float(x) for x in np.array(v) + 0.28 * rng.standard_normal(16)]) for i, v in data]
     report = {}
     df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
-    got = collected(vectors.near_vectors(df, k=3, tables=1, rounds=0, report=report))
+    got = collected(vectors.near_vectors(df, k=3, tables=1, rounds=0, every=1, report=report))
     assert report["exact"] and report["worst"] < 0.98
     assert got == cosine_truth(data)
     hot = [(i, [1.0, 0.0, 0.001 * i], 1) for i in range(60)] + [(100, [0.0, 1.0, 0.0], 1), (101, [0.0, 1.0, 0.01], 1)]
     nodes = spark.createDataFrame([(i, np.array(v).tobytes(), w) for i, v, w in hot], "id long, vec binary, weight long")
-    found, true, worst = vectors.audit(nodes, spark.createDataFrame([(i, 59) for i in range(60)], "id long, links long"), "f8", 0.95)
-    assert found >= 0.98 * true and worst == 0
+    ids = nodes.select("id")
+    seen = vectors.audit(nodes, spark.createDataFrame([(i, 59) for i in range(60)], "id long, links long"), ids, ids.where("id < 60"), "f8", 0.95, block_bytes=100)
+    assert seen["recall"] >= 0.98 and seen["worst"] == 0 and seen["asked"] == 62
+
+
+def test_op2(spark, tmp_path):
+    """The query against brute force, on the whole table and noisy copies of a third of it."""
+    data = [tuple(r) for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    rng = np.random.default_rng(6)
+    for i, v in data[::3]:
+        x = np.array(v, np.float32)
+        for c in range(1 + i % 3):
+            noise = rng.standard_normal(len(v)) * np.linalg.norm(x) / np.sqrt(len(v)) * rng.choice([0.1, 0.2, 0.3, 0.4])
+            data.append((100_000 + 10 * i + c, [float(y) for y in (x + noise).astype(np.float32)]))
+    spark.createDataFrame(data, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    out = queries.op2_embedding_near_dedup(spark, str(tmp_path))
+    want = cosine_truth(data)
+    assert collected(out.drop("audited_recall")) == want and sum(r[1] for r in want) > 300
+    assert out.first().audited_recall == 1.0
 
 
 def test_vectors_edges(spark):
