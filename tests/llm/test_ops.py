@@ -227,7 +227,7 @@ def test_op2(spark, tmp_path):
     spark.createDataFrame(data, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
     out = queries.op2_embedding_near_dedup(spark, str(tmp_path))
     want = cosine_truth(data)
-    assert collected(out.drop("audited_recall")) == want and sum(r[1] for r in want) > 300
+    assert collected(out.drop("audited_recall")) == want and sum(r[1] for r in want) > 100
     assert out.first().audited_recall == 1.0
 
 
