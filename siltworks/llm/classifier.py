@@ -155,7 +155,10 @@ def labelled_features(docs: DataFrame, labels: DataFrame, sample: int, seed: int
                     names=["grade", "word", "value", "form"],
                 )
 
-    joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "grade")
+    joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # an id that rows repeat gives one of them, folded before the shuffle, so that no more than sample rows arrive
+    one = F.min(F.struct(F.xxhash64("text").alias("place"), "text", "grade")).alias("one")
+    joined = joined.groupBy("doc_id").agg(one).select("one.text", "one.grade")
     rows = joined.mapInArrow(run, "grade int, word binary, value binary, form binary").toArrow()
     if not rows.num_rows:
         none = np.zeros(0, np.int64)

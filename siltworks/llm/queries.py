@@ -69,7 +69,48 @@ QUERIES = {
 }
 
 
+_REACH = """
+        reach AS (SELECT a, b FROM linked UNION SELECT r.a, l.b FROM reach r JOIN linked l ON r.b = l.a),
+        classes AS (SELECT a, min(b) AS least_ FROM reach GROUP BY a),
+        counts AS (SELECT a, count(*) AS n FROM linked GROUP BY a)"""
+
 SQL = {
+    "op1_substring_dedup": r"""
+        WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        windows AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 19], ' ')) AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM words WHERE len(w) >= 20)),
+        again AS (SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM again),
+        tokens AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM words),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM tokens ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+        cuts AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+        FROM words LEFT JOIN kept USING (doc_id) LEFT JOIN cuts USING (doc_id)""",
+    "op2_embedding_near_dedup": r"""
+        WITH RECURSIVE good AS (
+            SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+            WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        linked AS (
+            SELECT x.vec_id AS a, y.vec_id AS b FROM good x JOIN good y ON x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
+            WHERE list_cosine_similarity(x.v, y.v) >= 0.95),""" + _REACH + """
+        SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(least_, vec_id)) AS component_id, least(vec_id, coalesce(least_, vec_id)) = vec_id AS kept, 1.0::DOUBLE AS audited_recall
+        FROM embeddings LEFT JOIN classes ON vec_id = classes.a LEFT JOIN counts ON vec_id = counts.a""",
+    "op7_warc": r"""
+        WITH payloads AS (SELECT page_id, coalesce(html, '') AS p, sha1(p) AS hex FROM pages),
+        digests AS (
+            SELECT *, array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                ((('0x' || substr(hex, (k // 4 * 5 + 1)::INT, 5))::INT >> (15 - k % 4 * 5)::INT) & 31) + 1, 1)), '') AS payload_digest, max(page_id) OVER (PARTITION BY p) AS last
+            FROM payloads)
+        SELECT page_id, strlen(p)::BIGINT AS payload_bytes, payload_digest, CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> last THEN last END AS refers_to FROM digests""",
+    "op10_jaccard_join": r"""
+        WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, md5(array_to_string(w[i:i + 4], ' ')) AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words WHERE len(w) > 0)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+        linked AS (SELECT a, b FROM common JOIN sizes p ON a = p.doc_id JOIN sizes q ON b = q.doc_id WHERE c >= 0.8::DOUBLE * (p.n + q.n - c) - 1e-9),""" + _REACH + """
+        SELECT doc_id, least(doc_id, coalesce(least_, doc_id)) AS class_id, coalesce(counts.n, 0)::BIGINT AS n_links, least(doc_id, coalesce(least_, doc_id)) = doc_id AS kept
+        FROM documents LEFT JOIN classes ON doc_id = classes.a LEFT JOIN counts ON doc_id = counts.a""",
     "op3_lm_scoring": r"""
         WITH words AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
         sizes AS (SELECT r, doc_id, len(w)::BIGINT AS n_words FROM words),
