@@ -26,6 +26,8 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--archives", help="glob of archives (owner__repo.tar.gz or .zip); without it they are fetched")
     c.add_argument("--fixture", help="folder of API responses to use instead of the network")
     c.add_argument("--output", default="output")
+    c.add_argument("--resume", action="store_true", help="go on from what an earlier run into the output completed")
+    c.add_argument("--package", action="store_true", help="make a .zip of the output, too")
     c = sub.add_parser("inspect", help="report on a dataset")
     c.add_argument("dataset")
     c = sub.add_parser("filter", help="keep code and documentation")
@@ -69,7 +71,7 @@ def main(argv: list[str] | None = None) -> int:
         repos = jobs.candidates(spark, plan, a.fixture, os.environ.get(plan.token_env))
         files = jobs.files_of_archives(spark, a.archives or jobs.fetched(spark, repos, f"{a.output}/_archives"), repos)
         repos = jobs.with_licenses(spark, repos, files, a.fixture, os.environ.get(plan.token_env))
-        LOG.info("%s", jobs.run(spark, plan, repos, files, a.output))
+        LOG.info("%s", jobs.run(spark, plan, repos, files, a.output, a.resume, a.package))
     elif a.command == "inspect":
         for name, df in jobs.inspect(spark, a.dataset).items():
             LOG.info("%s", name)

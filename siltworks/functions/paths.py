@@ -32,9 +32,7 @@ def path_excluded(path: Column, patterns: list[str]) -> Column:
     """Does the path, or a part of it, match one of the globs?  One pattern over all globs."""
     forms = []
     for p in patterns:
-        if "/" not in p:
-            forms.append("^(?:.*/)?" + glob(p)[1:])
-        forms += [glob(p), glob("**/" + p), glob("**/" + p + "/**")]
+        forms += [glob(p, base=True), glob("**/" + p), glob("**/" + p + "/**")]
     return path.rlike("|".join(f"(?:{x})" for x in forms)) if forms else F.lit(False)
 
 

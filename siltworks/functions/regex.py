@@ -39,11 +39,14 @@ SPACE = engine(r"\s")
 TRIM = f"^{SPACE}+|{SPACE}+$".replace("$", r"\z")
 
 
-def glob(pattern: str) -> str:
-    """A path glob (``* ** ? [] {}``; dot files match) as an anchored pattern.  Negation, extglobs, comments: an error."""
-    if pattern[:1] in ("!", "#") or re.search(r"[@!+*?]\(", pattern):
-        raise ValueError(f"glob {pattern!r}: negation, comments and extended forms are not supported")
-    return "^" + _segments(pattern) + "$"
+def glob(pattern: str, base: bool = False) -> str:
+    """A path glob as an anchored pattern: ``* ** ? [] {}``, extended forms ``@ ? * + !`` with ``(a|b)``, a leading ``!``
+    for all that does not match; ``#`` begins a comment, which matches nothing.  Dot files match.  With base a pattern without a slash is for a path's last part."""
+    if pattern[:1] == "#":
+        return r"[^\s\S]"
+    body = pattern.lstrip("!") if not pattern.startswith("!(") else pattern
+    form = ("(?:.*/)?" if base and "/" not in body else "") + _segments(body)
+    return rf"^(?!{form}$)[\s\S]*$" if (len(pattern) - len(body)) % 2 else f"^{form}$"
 
 
 def _segments(pattern: str) -> str:
@@ -61,7 +64,15 @@ def _segment(part: str) -> str:
     out, i, depth = "", 0, 0
     while i < len(part):
         c = part[i]
-        if c == "*":
+        end = _closing(part, i + 1) if c in "@?*+!" and part[i + 1 : i + 2] == "(" else -1
+        if end > 0:
+            inner = "|".join(_segment(x) for x in _alternatives(part[i + 2 : end]))
+            if c == "!":  # what is not one of them before the rest of the part
+                rest = _segment(part[end + 1 :])
+                return f"{out}(?!(?:{inner}){rest}(?:/|$))[^/]*?{rest}"
+            out += f"(?:{inner})" + ("" if c == "@" else c)
+            i = end
+        elif c == "*":
             out += "[^/]+" if part == "*" else "[^/]*"
             while part[i + 1 : i + 2] == "*":
                 i += 1
@@ -82,3 +93,24 @@ def _segment(part: str) -> str:
             out += re.escape(c)
         i += 1
     return out
+
+
+def _closing(part: str, at: int) -> int:
+    """The place of the bracket that closes the one at ``at``, -1 without one."""
+    depth = 0
+    for k in range(at, len(part)):
+        depth += {"(": 1, ")": -1}.get(part[k], 0)
+        if depth == 0:
+            return k
+    return -1
+
+
+def _alternatives(inner: str) -> list[str]:
+    out, depth = [""], 0
+    for c in inner:
+        depth += {"(": 1, ")": -1}.get(c, 0)
+        if c == "|" and not depth:
+            out.append("")
+        else:
+            out[-1] += c
+    return out

@@ -3,36 +3,56 @@
 from __future__ import annotations
 
 import datetime
+import logging
+import os
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import content, paths
 from ..operators import curate, discover, examples, exporting, report
 from ..sources import api, files, sinks
+from ..streaming.incremental import Progress
 from .config import Plan, dump_plan
 
+LOG = logging.getLogger("siltworks")
+
 
 def candidates(spark: SparkSession, plan: Plan, fixture: str | None = None, token: str | None = None) -> DataFrame:
-    """Records of the plan's sources, merged; a fixture folder stands for the network."""
+    """Records of the plan's sources, merged; a fixture folder stands for the network.
+
+    Each source is asked on its own and its records are held; one that fails is logged and the others go on.  If all
+    fail, so does the job.
+    """
     api.register(spark)
     d = plan.discovery
     if d is None:
         raise ValueError("the plan has no discovery")
-    base = {k: v for k, v in {"fixture": fixture, "token": token}.items() if v}
+    base = {k: v for k, v in {"fixture": fixture, "token": token}.items() if v} | {"concurrency": plan.concurrency}
     load = lambda **o: spark.read.format("code_repositories").options(**base, **o).load()
-    parts = []
+    asks: list[tuple[str, DataFrame]] = []
     if d.search:
         found = discover.to_records(load(kind="search", query=d.search.query, limit=d.search.limit), 0)
-        parts.append(discover.search_page(found, d.search.limit))
+        asks.append(("search", discover.search_page(found, d.search.limit)))
     if d.users:
         own = load(kind="users", names=",".join(d.users), limit=d.per_user_limit).withColumn("stars", F.col("stargazers_count"))
-        parts.append(discover.to_records(discover.per_user(own, "asked", d.per_user_limit), 1))
+        asks.append(("users", discover.to_records(discover.per_user(own, "asked", d.per_user_limit), 1)))
     if d.explicit_repos:
-        parts.append(discover.to_records(load(kind="repos", names=",".join(d.explicit_repos)), 2))
-    if not parts:
+        asks.append(("explicitRepos", discover.to_records(load(kind="repos", names=",".join(d.explicit_repos)), 2)))
+    if not asks:
         raise ValueError("the plan's discovery names no source")
+    parts, failed = [], []
+    for name, ask in asks:
+        try:
+            # answers are few (at most 2000 a search or user) and must not be asked for twice
+            parts.append(spark.createDataFrame(ask.collect(), ask.schema))
+        except PySparkException as e:
+            failed.append(name)
+            LOG.warning("discovery by %s failed: %s", name, str(e).split("\n")[0])
+    if not parts:
+        raise RuntimeError(f"discovery failed: {', '.join(failed)}")
     return discover.merge_candidates(*parts)
 
 
@@ -60,19 +80,39 @@ def with_licenses(spark: SparkSession, repos: DataFrame, source: DataFrame, fixt
     return discover.resolve_license(repos, told, discover.license_files(files.with_text(source)))
 
 
-def run(spark: SparkSession, plan: Plan, repos: DataFrame, source: DataFrame, target: str) -> dict:
-    """Curate source (files of repos) into target: data, metadata.jsonl, manifest.json, stats.json, plan.me."""
+def run(spark: SparkSession, plan: Plan, repos: DataFrame, source: DataFrame, target: str, resume: bool = False, package: bool = False) -> dict:
+    """Curate source (files of repos) into target: data/<owner>__<repo>/..., metadata.jsonl, manifest.json, stats.json,
+    plan.me, which the other commands read.
+
+    What is kept is a table first (_kept); the tree is written from it.  With ``resume`` the repositories that an
+    earlier run into target completed are not curated again: their files stay, count for the budget and are known to
+    the dedup.  With ``package`` target.zip is made of the tree and the side files.
+    """
     chosen = discover.eligible(repos, plan.min_stars, plan.languages, plan.licenses.allow, plan.licenses.require_detected)
-    own = files.with_text(source.join(chosen.select("full_name"), "full_name", "left_semi"))
+    progress = Progress(spark, f"{target}/_progress")
+    earlier = spark.read.parquet(f"{target}/_kept") if resume and files.entries(spark, f"{target}/_kept") else None
+    left = discover.not_completed(chosen, progress.completed()) if earlier is not None else chosen
+    own = files.with_text(source.join(left.select("full_name"), "full_name", "left_semi"))
     own = own.where(curate.file_predicates(plan.exclude.paths, plan.exclude.extensions, plan.languages, plan.exclude.max_file_size_kb) & ~content.is_binary(F.col("content")))
     own = curate.hashed(curate.secrets(own, plan.secret_scan.action) if plan.secret_scan.enabled else own)
+    if earlier is not None and plan.dedupe:
+        known = earlier.select("sha256").distinct().withColumn("_known", F.lit(True))
+        own = own.join(known, "sha256", "left")
+    else:
+        own = own.withColumn("_known", F.lit(None).cast("boolean"))
     marked = curate.mark_duplicates(own) if plan.dedupe else own.withColumn("is_duplicate", F.lit(False))
+    marked = marked.withColumn("is_duplicate", F.col("is_duplicate") | F.coalesce("_known", F.lit(False))).drop("_known")
     marked.drop("content").write.mode("overwrite").parquet(f"{target}/_marked")
     marked = spark.read.parquet(f"{target}/_marked")
-    kept = curate.budget(marked.where(~F.col("is_duplicate")).drop("is_duplicate"), int(plan.max_size_gb * (1 << 30)))
-    sinks.write_dataset(kept, f"{target}/data")
-    kept = spark.read.schema(kept.schema).parquet(f"{target}/data")
+    spent = earlier.agg(F.coalesce(F.sum("size_bytes"), F.lit(0))).first()[0] if earlier is not None else 0
+    fresh = curate.budget(marked.where(~F.col("is_duplicate")).drop("is_duplicate"), int(plan.max_size_gb * (1 << 30)) - spent)
+    sinks.write_dataset(earlier.unionByName(fresh) if earlier is not None else fresh, f"{target}/_kept_new")
+    files.move(spark, f"{target}/_kept_new", f"{target}/_kept")
+    kept = spark.read.parquet(f"{target}/_kept")
+    sinks.write_tree(kept, f"{target}/data")
     manifest = curate.repo_manifest(chosen, kept)
+    done = manifest.select("full_name", F.col("file_count").alias("files"), F.col("total_bytes").alias("bytes"))
+    progress.mark(done, 0)  # the whole state, so a run replaces that of the one before
     sinks.write_jsonl(curate.file_metadata(kept, chosen), f"{target}/metadata.jsonl")
     sinks.write_json(sinks.manifest_rows(manifest), f"{target}/manifest.json")
     stats = curate.dataset_stats(manifest, marked, plan.name).first().asDict()
@@ -81,13 +121,20 @@ def run(spark: SparkSession, plan: Plan, repos: DataFrame, source: DataFrame, ta
     sinks.write_json(stats, f"{target}/stats.json")
     with open(f"{target}/plan.me", "w", encoding="utf-8") as f:
         f.write(dump_plan(plan))
+    if package:
+        sinks.build_zip(target, f"{os.path.abspath(target)}.zip")
     return stats
 
 
+def _side(root: str, name: str) -> str:
+    """A side file of a dataset folder or package."""
+    return f"{root}!{name}" if files.is_zip(root) else f"{root.rstrip('/')}/{name}"
+
+
 def inspect(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The reports on a dataset folder; contents are not read."""
     own = files.tree(spark, files.find_data_dir(spark, root), content=False)
-    manifest = files.read_json_file(spark, f"{root.rstrip('/')}/manifest.json")
+    manifest = files.read_json_file(spark, _side(root, "manifest.json"))
     ext = report.by_extension(own)
     repos = report.by_repo(own, manifest)
     cats = report.by_category(own)
@@ -98,17 +145,24 @@ def inspect(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def filter_dataset(spark: SparkSession, root: str, target: str, debug: bool = False, split_docs: bool = False, passthrough: bool = False) -> DataFrame:
-    """Copy what stays to target/data, or target/code and target/docs; the counts by outcome.
+    """Copy what stays to target/data, or target/code and target/docs; the counts by outcome.  root is a dataset folder
+    or package; folders that an earlier run left in target are removed.
 
     passthrough also copies the side files as they are, which then tell of files that were removed.
     """
     base = files.find_data_dir(spark, root)
     outcomes = report.filter_outcomes(files.tree(spark, base), debug, split_docs)
-    for part in ("code", "docs") if split_docs else ("data",):
+    parts = ("code", "docs") if split_docs else ("data",)
+    for part in {"code", "docs", "data"} - set(parts):
+        files.remove(spark, f"{target}/{part}")
+    for part in parts:
         inner = outcomes.where(F.col("outcome") == part).withColumn("rel_path", F.regexp_replace("rel_path", "^[^/]+/", ""))
         sinks.write_tree(inner, f"{target}/{part}")
     for name in ("manifest.json", "stats.json", "metadata.jsonl", "plan.me") if passthrough else ():
-        files.copy(spark, f"{root.rstrip('/')}/{name}", f"{target}/{name}")
+        if files.is_zip(root):
+            files.unpack(spark, root, name, f"{target}/{name}")
+        else:
+            files.copy(spark, f"{root.rstrip('/')}/{name}", f"{target}/{name}")
     return report.outcome_counts(outcomes)
 
 

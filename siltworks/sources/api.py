@@ -64,7 +64,13 @@ def fetch(url: str, token: str | None, timeout: float = 60) -> Answer:
         return Answer(e.code, None, {k.lower(): v for k, v in e.headers.items()})
 
 
-def get(ask: Callable[[], Answer], limiter: RateLimiter, wall: Callable[[], float] = time.time, tries: int = 5) -> Answer:
+def shared_limiter(rate: int, readers: int) -> RateLimiter:
+    """One of ``readers`` limiters that together let ``rate`` requests a second pass: each has its share of the time."""
+    speed = rate / readers
+    return RateLimiter(1, lambda: time.monotonic() * speed, lambda s: time.sleep(s / speed))
+
+
+def get(ask: Callable[[], Answer], limiter: RateLimiter, wall: Callable[[], float] = time.time, tries: int = 5, sleep: Callable[[float], None] | None = None) -> Answer:
     """Ask under the limiter; after a 403 wait until the limit's reset and a second more, then ask for the same again."""
     answer = Answer(403, None, {})
     for _ in range(tries):
@@ -74,15 +80,22 @@ def get(ask: Callable[[], Answer], limiter: RateLimiter, wall: Callable[[], floa
         limiter.server_says(int(left) if left is not None else None)
         if answer.status != 403:
             return answer
-        limiter.sleep(max(0.0, float(answer.headers.get("x-ratelimit-reset", wall())) - wall()) + 1)
+        (sleep or limiter.sleep)(max(0.0, float(answer.headers.get("x-ratelimit-reset", wall())) - wall()) + 1)
     return answer
 
 
-class _Ask(InputPartition):
+class _Ask:
     def __init__(self, kind: str, name: str, page: int, place: int):
         self.kind, self.name, self.page, self.place = kind, name, page, place
 
 
+class _Asks(InputPartition):
+    """What one reader asks for, in turn: all pages of a name are with one reader."""
+
+    def __init__(self, asks: list[_Ask], readers: int):
+        self.asks, self.readers = asks, readers
+
+
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
         self.o = options
@@ -93,10 +106,13 @@ class _Reader(DataSourceReader):
         names = [x for x in self.o.get("names", "").split(",") if x]
         kind = self.o.get("kind", "search")
         if kind == "search":
-            return [_Ask(kind, self.o.get("query", ""), p, p * PAGE) for p in pages]
-        if kind == "users":
-            return [_Ask(kind, u, p, (i * 1000 + p) * PAGE) for i, u in enumerate(names) for p in pages]
-        return [_Ask(kind, n, 1, i) for i, n in enumerate(names)]
+            asks = [[_Ask(kind, self.o.get("query", ""), p, p * PAGE) for p in pages]]
+        elif kind == "users":
+            asks = [[_Ask(kind, u, p, (i * 1000 + p) * PAGE) for p in pages] for i, u in enumerate(names)]
+        else:
+            asks = [[_Ask(kind, n, 1, i)] for i, n in enumerate(names)]
+        readers = max(1, min(int(self.o.get("concurrency", 5)), len(asks)))
+        return [_Asks([a for one in asks[k::readers] for a in one], readers) for k in range(readers)]
 
     def _answer(self, ask: _Ask, limiter: RateLimiter) -> Answer:
         if fixture := self.o.get("fixture"):
@@ -112,30 +128,37 @@ class _Reader(DataSourceReader):
             "users": f"{API}/users/{q(ask.name)}/repos?type=owner&sort=stars&per_page={PAGE}&page={ask.page}",
             "licenses": f"{API}/repos/{q(ask.name, safe='/')}/license",
         }.get(ask.kind, f"{API}/repos/{q(ask.name, safe='/')}")
-        return get(lambda: fetch(url, self.o.get("token")), limiter)
-
-    def read(self, partition: _Ask) -> Iterator[tuple]:
-        if partition.kind in ("repos", "licenses") and len([x for x in partition.name.split("/") if x]) != 2:
-            return
-        answer = self._answer(partition, RateLimiter(int(self.o.get("rate", 5))))
+        return get(lambda: fetch(url, self.o.get("token")), limiter, sleep=time.sleep)
+
+    def read(self, partition: _Asks) -> Iterator[tuple]:
+        limiter, ended = shared_limiter(int(self.o.get("rate", 5)), partition.readers), set()
+        for ask in partition.asks:
+            if ask.name in ended or ask.kind in ("repos", "licenses") and len([x for x in ask.name.split("/") if x]) != 2:
+                continue
+            rows = self._rows(ask, limiter)
+            if len(rows) < PAGE:  # a short page is the last
+                ended.add(ask.name)
+            for k, r in enumerate(rows):
+                owner, lic = r.get("owner") or {}, r.get("license")
+                yield (
+                    r.get("full_name"), r.get("name"), (owner.get("login"),), r.get("stargazers_count"), r.get("language"), (lic.get("spdx_id"),) if lic else None,
+                    r.get("description"), r.get("default_branch"), r.get("html_url"), r.get("fork"), ask.name, ask.place + k,
+                )
+
+    def _rows(self, ask: _Ask, limiter: RateLimiter) -> list[dict]:
+        answer = self._answer(ask, limiter)
         if answer.status == 404:
-            return
+            return []
         if answer.status != 200:
-            raise RuntimeError(f"{partition.kind} {partition.name}, page {partition.page}: status {answer.status}")
-        if partition.kind == "licenses":
-            rows = [{"full_name": partition.name, "license": answer.body.get("license")}]
-        else:
-            rows = answer.body["items"] if partition.kind == "search" else answer.body if isinstance(answer.body, list) else [answer.body]
-        for k, r in enumerate(rows):
-            owner, lic = r.get("owner") or {}, r.get("license")
-            yield (
-                r.get("full_name"), r.get("name"), (owner.get("login"),), r.get("stargazers_count"), r.get("language"), (lic.get("spdx_id"),) if lic else None,
-                r.get("description"), r.get("default_branch"), r.get("html_url"), r.get("fork"), partition.name, partition.place + k,
-            )
+            raise RuntimeError(f"{ask.kind} {ask.name}, page {ask.page}: status {answer.status}")
+        if ask.kind == "licenses":
+            return [{"full_name": ask.name, "license": answer.body.get("license")}]
+        return answer.body["items"] if ask.kind == "search" else answer.body if isinstance(answer.body, list) else [answer.body]
 
 
 class RepositorySource(DataSource):
-    """Options: kind (search, users, repos, licenses), query or names, limit, token, rate, fixture."""
+    """Options: kind (search, users, repos, licenses), query or names, limit, token, rate (of all readers), concurrency
+    (readers), fixture."""
 
     @classmethod
     def name(cls) -> str:

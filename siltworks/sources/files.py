@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import io
+import json
 import posixpath
 import tarfile
 import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import paths
@@ -38,8 +40,36 @@ def copy(spark: SparkSession, source: str, target: str) -> bool:
     return spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, there, to_fs, to, False, spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Put source in the place of target."""
+    remove(spark, target)
+    fs, there = _fs(spark, source)
+    if not fs.rename(there, _fs(spark, target)[1]):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, there = _fs(spark, path)
+    fs.delete(there, True)
+
+
+def unpack(spark: SparkSession, package: str, name: str, target: str) -> bool:
+    """Write one member of a package as a file, if it is there."""
+    found = members(spark.read.format("binaryFile").load(package)).where(F.col("rel_path") == name).first()
+    if found:
+        with open(target, "wb") as f:
+            f.write(found.content)
+    return found is not None
+
+
+def is_zip(path: str) -> bool:
+    return path.lower().endswith(".zip")
+
+
 def find_data_dir(spark: SparkSession, root: str) -> str:
-    """``data`` under root, or root itself if an entry is named owner__repo."""
+    """``data`` under root, or root itself if an entry is named owner__repo; a package (.zip) is its own."""
+    if is_zip(root):
+        return root
     names = dict(entries(spark, root))
     if names.get("data"):
         return f"{root.rstrip('/')}/data"
@@ -49,7 +79,18 @@ def find_data_dir(spark: SparkSession, root: str) -> str:
 
 
 def find_layout(spark: SparkSession, root: str) -> tuple[str, str | None, list[str]]:
-    """(code directory, docs directory or None, repository directories): code/ and docs/, else data/, else root."""
+    """(code directory, docs directory or None, repository directories): code/ and docs/, else data/, else root.
+
+    In a package (.zip) the directories are <package>!<directory>.
+    """
+    if is_zip(root):
+        tops = {r.top: r.repos for r in members(spark.read.format("binaryFile").load(root)).select(
+            F.split("rel_path", "/")[0].alias("top"), F.get(F.split("rel_path", "/"), F.lit(1)).alias("second")
+        ).groupBy("top").agg(F.array_sort(F.collect_set(F.when(F.col("second").contains("__"), F.col("second")))).alias("repos")).collect()}
+        code = next((x for x in ("code", "data") if tops.get(x)), None)
+        if code is None:
+            raise FileNotFoundError(f"{root} holds no owner__repo directories")
+        return f"{root}!{code}", f"{root}!docs" if code == "code" and "docs" in tops else None, list(tops[code])
     names, base = dict(entries(spark, root)), root.rstrip("/")
     code = f"{base}/code" if names.get("code") else f"{base}/data" if names.get("data") else root
     docs = f"{base}/docs" if names.get("code") and names.get("docs") else None
@@ -62,8 +103,16 @@ def find_layout(spark: SparkSession, root: str) -> tuple[str, str | None, list[s
 def tree(spark: SparkSession, root: str, content: bool = True) -> DataFrame:
     """Files below root: full_name, rel_path (from root, with the repository's directory), size_bytes and content.
 
-    Without content only directory metadata is read, and conditions on size_bytes reach the scan.
+    Without content only directory metadata is read, and conditions on size_bytes reach the scan.  root may be a package
+    (.zip, or <package>!<directory>), read without unpacking it to disk.
     """
+    package, _, part = root.partition("!")
+    if is_zip(package):
+        own = members(spark.read.format("binaryFile").load(package))
+        for top in [part] if part else ["data"]:
+            own = own.where(F.col("rel_path").startswith(f"{top}/")).withColumn("rel_path", F.substring("rel_path", len(top) + 2, 1 << 30))
+        own = own.select("rel_path", "size_bytes", *(["content"] if content else []))
+        return own.withColumn("full_name", paths.decode_repo(F.split("rel_path", "/")[0]))
     base = _fs(spark, root)[0].makeQualified(_fs(spark, root)[1]).toUri().getPath().rstrip("/")
     df = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     where = F.regexp_replace("path", r"^[a-zA-Z][a-zA-Z0-9+.-]*:(?://[^/]*)?", "")
@@ -117,7 +166,16 @@ def archives(spark: SparkSession, path: str, strip: int = 1) -> DataFrame:
 
 
 def read_json_file(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
-    """A JSON side file of one value, or None if it is missing or bad."""
+    """A JSON side file of one value, or None if it is missing or bad.  <package>!<name> is a member of a package."""
+    package, _, name = path.partition("!")
+    if is_zip(package):
+        found = members(spark.read.format("binaryFile").load(package)).where(F.col("rel_path") == name).first()
+        try:
+            value = json.loads(found.content) if found else None
+        except ValueError:
+            return None
+        rows = value if isinstance(value, list) else [value] if isinstance(value, dict) else []
+        return spark.createDataFrame([Row(**r) for r in _squared(rows)], schema) if rows else None
     fs, there = _fs(spark, path)
     if not fs.exists(there):
         return None
@@ -126,10 +184,16 @@ def read_json_file(spark: SparkSession, path: str, schema: str | None = None) ->
         df = (reader.schema(schema) if schema else reader).json(path)
         df.limit(1).collect()
         return df
-    except Exception:  # noqa: BLE001  Spark's and Java's errors have no common base
+    except PySparkException:
         return None
 
 
+def _squared(rows: list[dict]) -> list[dict]:
+    """Rows with the keys of all."""
+    keys = dict.fromkeys(k for r in rows for k in r)
+    return [{k: r.get(k) for k in keys} for r in rows]
+
+
 def parse_examples(lines: DataFrame) -> DataFrame:
     """Rows of JSON text lines (column value); blank lines and bad JSON are left out."""
     one = F.from_json("value", EXAMPLE_SCHEMA + ", _bad string", {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"})

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -19,8 +21,8 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 
 
 def write_dataset(files: DataFrame, path: str) -> None:
-    """The dataset as Parquet, one folder a repository: the system of record."""
-    files.repartition("full_name").write.mode("overwrite").partitionBy("full_name").parquet(path)
+    """The dataset as one Parquet table, written where the rows are: no repository is gathered in one task."""
+    files.write.mode("overwrite").parquet(path)
 
 
 def write_split(outcomes: DataFrame, path: str) -> None:
@@ -31,8 +33,11 @@ def write_split(outcomes: DataFrame, path: str) -> None:
 def write_tree(files: DataFrame, root: str) -> None:
     """files (full_name, rel_path, content or text) under root/owner__repo/, written by the tasks.
 
-    root must be a folder that all executors share.  A path that leads outside is an error.
+    root must be a folder that all executors share; what it held before is removed.  A path that leads outside is an
+    error.  An empty table leaves an empty folder.
     """
+    shutil.rmtree(root, ignore_errors=True)
+    os.makedirs(root)
     body = F.col("content") if "content" in files.columns else F.col("text").cast("binary")
 
     def put(rows) -> None:
@@ -42,7 +47,7 @@ def write_tree(files: DataFrame, root: str) -> None:
             if not there.startswith(top + os.sep):
                 raise ValueError(f"{r['rel_path']} leads outside {root}")
             os.makedirs(os.path.dirname(there), exist_ok=True)
-            part = f"{there}.{os.getpid()}.part"
+            part = f"{there}.{uuid.uuid4().hex}.part"
             with open(part, "wb") as f:
                 f.write(r["body"])
             os.replace(part, there)
@@ -62,9 +67,19 @@ def write_json(value: object, path: str) -> None:
 
 
 def build_zip(folder: str, target: str, level: int = 6) -> str:
-    """All files of a finished output folder, in sorted order, deflated."""
+    """All files of a finished output folder but its inner tables (names with _ or . first), in sorted order, deflated.
+
+    A JSON lines folder becomes one member, its parts one after another.
+    """
+    inner = lambda p: any(x[:1] in ("_", ".") for x in p.relative_to(folder).parts[:1])
+    lines = sorted(p for p in Path(folder).glob("*.jsonl") if p.is_dir())
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED, compresslevel=level) as z:
         for p in sorted(Path(folder).rglob("*")):
-            if p.is_file() and p.resolve() != Path(target).resolve():
+            if p.is_file() and not inner(p) and p.resolve() != Path(target).resolve() and not any(x in p.parents for x in lines):
                 z.write(p, p.relative_to(folder).as_posix())
+        for x in lines:
+            with z.open(x.name, "w") as out:
+                for p in sorted(x.glob("part-*")):
+                    with open(p, "rb") as f:
+                        shutil.copyfileobj(f, out)
     return target

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import curate, exporting
-from ..sources.files import parse_examples
+from ..sources.files import entries, parse_examples
 
 
 def export_stream(spark: SparkSession, source: str, target: str, checkpoint: str, form: str = "messages") -> StreamingQuery:
@@ -28,10 +27,9 @@ class Ledger:
         self.spark, self.path, self.schema = spark, path, schema
 
     def read(self, before: int | None = None) -> DataFrame:
-        try:
-            df = self.spark.read.parquet(self.path)
-        except AnalysisException:
+        if not entries(self.spark, self.path):  # a ledger that is there and cannot be read is an error
             return self.spark.createDataFrame([], self.schema + ", batch long")
+        df = self.spark.read.parquet(self.path)
         return df if before is None else df.where(F.col("batch") < before)
 
     def write(self, rows: DataFrame, batch: int) -> None:

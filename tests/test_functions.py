@@ -61,10 +61,19 @@ def test_globs(spark, pattern, hits, misses):
     assert values(spark, hits + misses, lambda x: x.rlike(glob(pattern))) == [True] * len(hits) + [False] * len(misses)
 
 
-@pytest.mark.parametrize("pattern", ["!a", "#a", "+(a|b)"])
-def test_globs_not_supported(pattern):
-    with pytest.raises(ValueError, match="not supported"):
-        glob(pattern)
+@pytest.mark.parametrize(
+    ("pattern", "hits", "misses"),
+    [
+        ("!*.js", ["a.ts", "d/b.js"], ["a.js"]), ("*.@(js|ts)", ["a.js", "a.ts"], ["a.jsx"]), ("+(a|b).c", ["aab.c"], [".c"]), ("!(x|y).c", ["z.c", "xx.c"], ["x.c", "d/z.c"]),
+        ("#a", [], ["#a"]), ("?(a)b", ["b", "ab"], ["aab"]), ("!!a", ["a"], ["b"]),
+    ],
+)
+def test_extended_globs(spark, pattern, hits, misses):
+    assert values(spark, hits + misses, lambda x: x.rlike(glob(pattern))) == [True] * len(hits) + [False] * len(misses)
+
+
+def test_negated_exclusion(spark):
+    assert values(spark, ["d/a.js", "d/a.ts"], lambda x: paths.path_excluded(x, ["!*.js"])) == [False, True]
 
 
 def test_path_excluded(spark):

@@ -77,9 +77,8 @@ def test_run_to_export(spark, fixture, tmp_path):
     again = config.parse_plan(f"{out}/plan.me")
     assert again == plan
 
-    tree = f"{tmp_path}/tree"
-    sinks.write_tree(spark.read.parquet(f"{out}/data"), f"{tree}/data")
-    assert sorted(p.name for p in (tmp_path / "tree/data").iterdir()) == ["a__x", "c__z"]
+    tree = out
+    assert sorted(p.name for p in (tmp_path / "out/data").iterdir()) == ["a__x", "c__z"]
     reports = jobs.inspect(spark, tree)
     assert {r.category: r.files for r in reports["categories"].collect()} == {"source": 4}
     counts = {r.outcome: r.files for r in jobs.filter_dataset(spark, tree, f"{tmp_path}/f", split_docs=True).collect()}
@@ -96,6 +95,49 @@ def test_run_to_export(spark, fixture, tmp_path):
     assert "stats.json" in zipfile.ZipFile(zipped).namelist()
 
 
+def test_resume_and_package(spark, fixture, tmp_path):
+    """A second run adds what the first did not have; its package is a dataset of its own."""
+    plan, arch = config.plan_from_dict(PLAN), tmp_path / "arch"
+    arch.mkdir()
+    archive(arch / "a__x.tar.gz")
+    repos = jobs.candidates(spark, plan, fixture)
+    out = str(tmp_path / "out")
+    jobs.run(spark, plan, repos.where("full_name = 'a/x'"), jobs.files_of_archives(spark, f"{arch}/*", repos), out)
+    first = {p: os.path.getmtime(p) for p in [f"{out}/data/a__x/src/a.ts"]}
+    assert first
+    archive(arch / "a__x.tar.gz", {"src/new.ts": "const changed = 1; // not to be seen again"})
+    archive(arch / "c__z.tar.gz", {"src/only.ts": "interface Only { name: string }\n// enough text\n", "src/a.ts": REPO_FILES["src/a.ts"]})
+    stats = jobs.run(spark, plan, repos, jobs.files_of_archives(spark, f"{arch}/*", repos), out, resume=True, package=True)
+    assert (stats["total_files"], stats["duplicates_skipped"]) == (4, 1)
+    assert sorted(p.relative_to(f"{out}/data").as_posix() for p in (tmp_path / "out/data").rglob("*") if p.is_file()) == ["a__x/README.md", "a__x/src/a.ts", "a__x/src/b.js", "c__z/src/only.ts"]
+    names = zipfile.ZipFile(f"{out}.zip").namelist()
+    assert "data/c__z/src/only.ts" in names and "metadata.jsonl" in names and not any(n.startswith("_") for n in names)
+    reports = jobs.inspect(spark, f"{out}.zip")
+    assert sorted((r.full_name, r.files) for r in reports["repos_by_files"].collect()) == [("a/x", 3), ("c/z", 1)]
+    counts = {r.outcome: r.files for r in jobs.filter_dataset(spark, f"{out}.zip", f"{tmp_path}/f", split_docs=True, passthrough=True).collect()}
+    assert counts == {"code": 3, "docs": 1} and json.loads((tmp_path / "f/stats.json").read_text())["total_files"] == 4
+    assert jobs.prepare(spark, f"{out}.zip", f"{tmp_path}/p")["totalExamples"] > 0
+    jobs.filter_dataset(spark, out, f"{tmp_path}/f")
+    assert sorted(x for x in os.listdir(f"{tmp_path}/f") if not x.endswith((".json", ".me", ".jsonl"))) == ["data"]
+
+
+def test_one_source_may_fail(spark, fixture):
+    (plan := config.plan_from_dict(PLAN))
+    open(f"{fixture}/user-a-1.json", "w").write("{not json")
+    out = jobs.candidates(spark, plan, fixture).orderBy("src_rank", "src_pos").collect()
+    assert [r.full_name for r in out] == ["a/x", "b/y", "c/z"]
+
+
+def test_readers_share_a_rate(monkeypatch):
+    now, slept = [0.0], []
+    monkeypatch.setattr(api.time, "monotonic", lambda: now[0])
+    monkeypatch.setattr(api.time, "sleep", lambda s: (slept.append(s), now.__setitem__(0, now[0] + s)))
+    limiter = api.shared_limiter(5, 10)
+    for _ in range(3):
+        limiter.take()
+    assert sum(slept) == pytest.approx(4.0)  # a tenth of five a second is one in two seconds
+
+
 def test_licenses_are_looked_up(spark, fixture, tmp_path):
     (tmp_path / "api/license-b__y.json").write_text(json.dumps({"license": {"spdx_id": "ISC"}}))
     repos = jobs.candidates(spark, config.plan_from_dict(PLAN), fixture).withColumn("license", F.when(F.col("full_name") == "c/z", None).otherwise(F.col("license")))
