@@ -50,7 +50,10 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written to the shared folder and read by the next.
 
-    What a stage wrote on its way is deleted with its end.
+    What a stage wrote on its way is deleted with its end.  Whole texts of any length go through every stage.  Null and
+    empty texts are rejected by the first; a null doc_id is a value like others, and rows that repeat doc_id and text
+    are one document from the second on.  Further columns, whatever their names, are kept until the last stage.  An
+    empty table gives an empty result, and without labels every text with a word passes the first stage.
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
