@@ -8,7 +8,7 @@ run, to the left and to the right, are its context.
 1. Seeds: anchors are gathered by (seed hash, context hash); the earliest of each class is kept.  A class is a seed
    extended both ways as far as its windows reach, so all its other members lie in repeats, as a whole.
 2. Only seeds with several contexts can begin or end a repeat inside a context.  For the earliest member of each of
-   these contexts the windows are compared one by one, by a 128-bit hash of their words.
+   these contexts the windows are compared one by one, by a 128-bit hash of their words' 64-bit hashes.
 3. What is left of each document are its earliest windows; every word of any other window lies in a maximal repeat
    of at least ``length`` words that also starts earlier, and goes.
 
@@ -195,7 +195,10 @@ def mark_anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
     firsts = find_anchors(docs, length, gram).groupBy("seed", "context").agg(F.min_by("place", "doc").alias("place"), F.min("doc").alias("doc"))
     # asks for all columns, so that both readers of firsts share one exchange
     several = firsts.where((F.col("place") >= 0) & F.col("doc").isNotNull()).groupBy("seed")
-    several = several.agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("seed", F.lit(True).alias("several"))
+    several = several.agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # the seed again, but a new column to the planner: both sides of the join get an exchange of their own, and only
+    # then can a seed with a different context in very many documents be split at run time
+    several = several.select(F.when(F.col("n") > 1, F.col("seed")).alias("seed"), F.lit(True).alias("several"))
     marks = firsts.join(several, "seed", "left").select("doc", "place", F.coalesce("several", F.lit(False)).alias("several"))
     return materialise(marks, "substring-anchors")
 
@@ -207,8 +210,8 @@ def substring_dedup(docs: DataFrame, length: int = 20, gram: int = 6, spans: boo
     Removed is each word in a run of ``length`` words that starts earlier too: in a smaller doc_id, or earlier in the
     same document.  Runs are judged on the input.  Null text has no words; a null doc_id is smaller than any other.
     Rows that share a doc_id and text are one document and share its verdict; of rows that share a doc_id with
-    different texts exactly one keeps a shared passage.  An empty table gives an empty result; other columns are not
-    read.
+    different texts exactly one keeps a shared passage.  Texts are read whole, however long.  An empty table gives an
+    empty result; other columns are not read.
     """
     docs = docs.select("doc_id", "text")
     marks = mark_anchors(docs, length, gram)
