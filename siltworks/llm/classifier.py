@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import released
 from .textops import Chunk, chunks
 
 BITS = 18
@@ -159,7 +160,7 @@ def labelled_features(docs: DataFrame, labels: DataFrame, sample: int, seed: int
     # an id that rows repeat gives one of them, folded before the shuffle, so that no more than sample rows arrive
     one = F.min(F.struct(F.xxhash64("text").alias("place"), "text", "grade")).alias("one")
     joined = joined.groupBy("doc_id").agg(one).select("one.text", "one.grade")
-    rows = joined.mapInArrow(run, "grade int, word binary, value binary, form binary").toArrow()
+    rows = joined.mapInArrow(released(run), "grade int, word binary, value binary, form binary").toArrow()
     if not rows.num_rows:
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(0), np.zeros((0, len(FORM))), none
@@ -201,7 +202,7 @@ def score(docs: DataFrame, model: Model, tail: int = 2, least: float = 0.5) -> D
                     names=["doc_id", "expected_grade", "tail", "selected"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, expected_grade double, tail double, selected boolean")
+    return docs.select("doc_id", "text").mapInArrow(released(run), "doc_id long, expected_grade double, tail double, selected boolean")
 
 
 def _grade(c: Chunk, model: Model, tail: int) -> tuple[pa.Array, np.ndarray]:
@@ -220,4 +221,4 @@ def select(docs: DataFrame, model: Model, tail: int = 2, least: float = 0.5) ->
             keep = [(_grade(c, model, tail)[1] >= least) & (np.diff(c.bounds) > 0) for c in chunks(batch.column("_text"))]
             yield batch.filter(pa.array(np.concatenate([np.zeros(0, bool), *keep])))
 
-    return rows.mapInArrow(run, rows.schema).select("_row.*")
+    return rows.mapInArrow(released(run), rows.schema).select("_row.*")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -80,6 +81,25 @@ def materialise(df: DataFrame, name: str, **options) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def release_memory() -> None:
+    """Give back to the system what this worker's allocators hold for later: workers live on from task to task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, which gives its memory back at the end of each task."""
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release_memory()
+
+    return own
+
+
 def small(df: DataFrame, most_rows: int = 20_000) -> DataFrame:
     """Mark df for broadcast if it holds at most most_rows rows (counted here), else leave the choice to Spark."""
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
@@ -149,7 +169,7 @@ def stream_groups(df: DataFrame, key: list[str], work: Callable[[pa.Table], pa.R
                 yield out
 
     dealt = df.repartition(n, *key) if n else df.repartition(*key)
-    return dealt.sortWithinPartitions(*key).mapInArrow(run, schema)
+    return dealt.sortWithinPartitions(*key).mapInArrow(released(run), schema)
 
 
 def block_pairs(df: DataFrame, group: str, member: str, size: Column, block: int) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import block_pairs, materialise, partitions, stream_groups, with_leaders
+from .common import block_pairs, materialise, partitions, released, stream_groups, with_leaders
 from .graph import components
 from .textops import Chunk, chunks, grams, run_hashes, within
 
@@ -103,7 +103,7 @@ def sketches(docs: DataFrame, gram: int, hashes: int) -> DataFrame:
                     names=["doc", "k1", "k2", "words", "sig"],
                 )
 
-    return docs.select(inner_id().alias("doc"), "text").mapInArrow(run, "doc long, k1 long, k2 long, words long, sig binary")
+    return docs.select(inner_id().alias("doc"), "text").mapInArrow(released(run), "doc long, k1 long, k2 long, words long, sig binary")
 
 
 def forest(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[list[int], list[int]]:
@@ -243,7 +243,7 @@ def similar(docs: DataFrame, threshold: float = 0.8, gram: int = 5, bands: int =
                 sets = [sh[at[i] : at[i + 1]].tobytes() for i in keep]
                 yield pa.RecordBatch.from_arrays([*(some.column(x) for x in ("doc", "k1", "weight", "component", "n", "sig")), pa.array(sets, pa.binary())], names=["doc", "k1", "weight", "component", "n", "sig", "sh"])
 
-    sets = texts.mapInArrow(shingled, "doc long, k1 long, weight long, component long, n long, sig binary, sh binary")
+    sets = texts.mapInArrow(released(shingled), "doc long, k1 long, weight long, component long, n long, sig binary, sh binary")
     parts = block_pairs(sets.dropDuplicates(["doc", "k1"]), "component", "k1", F.col("n"), block)
 
     def verify(rows: pa.Table) -> pa.RecordBatch | None:

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import released
 from .textops import buffers, grams, spans, word_hashes
 
 CHUNK_BYTES = 1 << 21
@@ -277,4 +278,4 @@ def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None = None, t
                 )
                 i = j
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, license_id string, dice double, n_parts long, licenses array<string>")
+    return docs.select("doc_id", "text").mapInArrow(released(run), "doc_id long, license_id string, dice double, n_parts long, licenses array<string>")

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import even_labels, materialise, partitions, stream_groups
+from .common import even_labels, materialise, partitions, released, stream_groups
 from .textops import Chunk, buffers, grams, spans, within
 
 _U = np.uint64
@@ -74,7 +74,7 @@ def blocks_of(docs: DataFrame, block_bytes: int, most_docs: int = 1 << 16) -> Da
         if ids:
             yield flush()
 
-    return docs.select("doc_id", "text").mapInArrow(run, BLOCKS)
+    return docs.select("doc_id", "text").mapInArrow(released(run), BLOCKS)
 
 
 def exploded(c: Chunk, h: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -114,7 +114,7 @@ def count_in_blocks(blocks: DataFrame, n: int, parts: int) -> DataFrame:
                     kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=[x.split()[0] for x in TABLE.split(", ")])
 
-    return blocks.select("block", "sizes", "texts").mapInArrow(run, TABLE)
+    return blocks.select("block", "sizes", "texts").mapInArrow(released(run), TABLE)
 
 
 def count_in_corpus(table: DataFrame, n: int, least: int, parts: int) -> DataFrame:

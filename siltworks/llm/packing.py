@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import released
 from .textops import Chunk, chunks
 
 _U = np.uint64
@@ -346,4 +347,4 @@ def pack_documents(
         if docs_:
             yield flush()
 
-    return docs.select("doc_id", "text", *([F.col(prompt).alias("prompt")] if prompt else [])).mapInArrow(run, PIECES)
+    return docs.select("doc_id", "text", *([F.col(prompt).alias("prompt")] if prompt else [])).mapInArrow(released(run), PIECES)

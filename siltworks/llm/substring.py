@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, released
 from .textops import Chunk, chunks, grams, mix, run_hashes, within
 
 _U = np.uint64
@@ -104,7 +104,7 @@ def find_anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
                     names=["seed", "context", "doc", "place"],
                 )
 
-    return docs.mapInArrow(run, "seed long not null, context long not null, doc long not null, place int not null")
+    return docs.mapInArrow(released(run), "seed long not null, context long not null, doc long not null, place int not null")
 
 
 def _lists(column: pa.Array) -> Iterator[np.ndarray]:
@@ -140,7 +140,7 @@ def find_windows(docs: DataFrame, length: int, gram: int) -> DataFrame:
                     names=["a", "b", "doc", "start"],
                 )
 
-    return docs.mapInArrow(run, "a long, b long, doc long, start int")
+    return docs.mapInArrow(released(run), "a long, b long, doc long, start int")
 
 
 def cut(docs: DataFrame, length: int, gram: int, spans: bool) -> DataFrame:
@@ -187,7 +187,7 @@ def cut(docs: DataFrame, length: int, gram: int, spans: bool) -> DataFrame:
                 )
 
     more = ", kept_text string, spans array<array<long>>" if spans else ""
-    return docs.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string" + more)
+    return docs.mapInArrow(released(run), "doc_id long, n_words long, n_removed long, kept_sha256 string" + more)
 
 
 def mark_anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import block_pairs, materialise, partitions, stream_groups, with_leaders
+from .common import block_pairs, materialise, partitions, released, stream_groups, with_leaders
 from .graph import components
 from .jaccard import forest
 
@@ -66,7 +66,7 @@ def usable(emb: DataFrame, kind: str) -> DataFrame:
                     rows.append((v + 0).tobytes())  # -0 becomes 0
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(rows, pa.binary())], names=["id", "vec"])
 
-    return emb.select("vec_id", "embedding").mapInArrow(run, "id long, vec binary")
+    return emb.select("vec_id", "embedding").mapInArrow(released(run), "id long, vec binary")
 
 
 def first_lists(nodes: DataFrame, kind: str, tables: range, bits: int, far: float, reach: int = 5, keep: int = 2) -> DataFrame:
@@ -120,9 +120,9 @@ def first_lists(nodes: DataFrame, kind: str, tables: range, bits: int, far: floa
                 a, b, s = np.concatenate(left), np.concatenate(right), np.concatenate(sims)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([a, b])), pa.array(np.concatenate([b, a])), pa.array(np.concatenate([s, s]))], names=["a", "b", "sim"])
 
-    keyed = nodes.select("id", "vec").mapInArrow(project, "tab long, bucket long, place double, id long, vec binary")
+    keyed = nodes.select("id", "vec").mapInArrow(released(project), "tab long, bucket long, place double, id long, vec binary")
     dealt = keyed.repartitionByRange("tab", "bucket", "place").sortWithinPartitions("tab", "bucket", "place")
-    return dealt.mapInArrow(neighbours, "a long, b long, sim double").where("a <> b")
+    return dealt.mapInArrow(released(neighbours), "a long, b long, sim double").where("a <> b")
 
 
 def nearest(pairs: DataFrame, k: int) -> DataFrame:
@@ -173,7 +173,7 @@ def block_links(members: DataFrame, kind: str, threshold: float, block: int) ->
             core = [len(v.as_buffer()) == len(p.as_buffer()) and float((unit([v.as_buffer()], kind) @ unit([p.as_buffer()], kind).T)[0, 0]) >= half for v, p in zip(batch.column("vec"), batch.column("pivot"), strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("comp", "id", "vec", "weight")), pa.array(core, pa.bool_())], names=["comp", "id", "vec", "weight", "core"])
 
-    cored = materialise(members.join(first, "comp").select("comp", "id", "vec", "weight", "pivot").mapInArrow(angle, "comp long, id long, vec binary, weight long, core boolean"), "vector-cores")
+    cored = materialise(members.join(first, "comp").select("comp", "id", "vec", "weight", "pivot").mapInArrow(released(angle), "comp long, id long, vec binary, weight long, core boolean"), "vector-cores")
     counts = cored.groupBy("comp").agg(F.sum(F.when(F.col("core"), F.col("weight")).otherwise(0)).alias("core_weight"), F.count_if("core").alias("n_core"), F.count_if(~F.col("core")).alias("n_rest"))
     sized = cored.join(counts, "comp")
     inner = sized.where("core").select("id", (F.col("core_weight") - F.col("weight")).alias("links"))
@@ -220,7 +220,7 @@ def crossing(members: DataFrame, kind: str, threshold: float, block: int) -> Dat
             cos = [float((unit([v.as_buffer()], kind) * unit([p.as_buffer()], kind)).sum()) for v, p in zip(raw, pivot, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("comp"), pa.array(np.arccos(np.clip(cos, -1, 1)), pa.float64())], names=["comp", "angle"])
 
-    radius = members.join(first, "comp").select("comp", "vec", "pivot").mapInArrow(angle, "comp long, angle double").groupBy("comp").agg(F.max("angle").alias("radius"))
+    radius = members.join(first, "comp").select("comp", "vec", "pivot").mapInArrow(released(angle), "comp long, angle double").groupBy("comp").agg(F.max("angle").alias("radius"))
     size = members.groupBy("comp").agg(F.count(F.lit(1)).alias("n"))
     balls = materialise(first.join(radius, "comp").join(size, "comp").withColumn("all", F.lit(0)), "vector-balls")
     n = balls.count()
@@ -325,7 +325,7 @@ def audit(nodes: DataFrame, links: DataFrame, asked: DataFrame, wide: DataFrame,
                             total[c : c + 2048] += near @ w[part]
                     yield pa.RecordBatch.from_arrays([pa.array(qid), pa.array(total)], names=["id", "n"])
 
-        counted.append(materialise(nodes.select("id", "vec", "weight").mapInArrow(compare, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")), "vector-audit"))
+        counted.append(materialise(nodes.select("id", "vec", "weight").mapInArrow(released(compare), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")), "vector-audit"))
     true = reduce(DataFrame.unionByName, counted).where("n > 0")
     seen = true.join(links, "id", "left").join(wide.select("id", F.lit(True).alias("wide")), "id", "left").withColumn("got", F.least("n", F.coalesce("links", F.lit(0))))
     classes = seen.groupBy(F.floor(F.log2("n")).alias("digits"), F.coalesce("wide", F.lit(False)).alias("wide")).agg(F.sum("got").alias("got"), F.sum("n").alias("n"), F.avg(F.col("got") / F.col("n")).alias("mean"))

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, new_path, partitions, with_leaders
+from .common import materialise, new_path, partitions, released, with_leaders
 from .textops import buffers
 
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1  # fixed by the seekable format
@@ -178,7 +178,7 @@ def write_bundles(pages: DataFrame, directory: str, frame_bytes: int = 1 << 18,
         if rows:
             yield finish()
 
-    return pages.select("page_id", "url", "html", "refers_to").mapInArrow(run, INDEX)
+    return pages.select("page_id", "url", "html", "refers_to").mapInArrow(released(run), INDEX)
 
 
 def parse(raw: bytes) -> Iterator[dict]:
@@ -224,7 +224,7 @@ def read_bundles(spark: SparkSession, directory: str, index: DataFrame, payloads
                             x["payload"] = None
                     yield pa.RecordBatch.from_pylist(rows, schema=_SCHEMA)
 
-    return _dealt(index.select("bundle").distinct()).mapInArrow(run, RECORDS)
+    return _dealt(index.select("bundle").distinct()).mapInArrow(released(run), RECORDS)
 
 
 def _dealt(bundles: DataFrame) -> DataFrame:
@@ -245,7 +245,7 @@ def read_records(spark: SparkSession, directory: str, index: DataFrame) -> DataF
                     frames = {x["frame"]: raw}
                     yield pa.RecordBatch.from_pylist(list(parse(raw[x["offset"] : x["offset"] + x["length"]])), schema=_SCHEMA)
 
-    return _dealt(wanted).mapInArrow(run, RECORDS)
+    return _dealt(wanted).mapInArrow(released(run), RECORDS)
 
 
 def with_revisits(pages: DataFrame) -> DataFrame:
